@@ -16,5 +16,30 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFr
     rows), so a side that grows with the data falls back to a shuffle join
     chosen by Catalyst/AQE instead of overflowing driver and executor memory.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if is_bounded(df, max_rows) else df
+
+
+def note_rows(df: DataFrame, n: int) -> DataFrame:
+    """Record a known exact row count on ``df`` (spares later size checks a job)."""
+    try:
+        df._strata_rows = n
+    except AttributeError:  # pragma: no cover
+        pass
+    return df
+
+
+def is_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows; checked once per DataFrame object."""
+    known = getattr(df, "_strata_rows", None)
+    if known is not None:
+        return known <= max_rows
+    memo = getattr(df, "_strata_rows_le", None)
+    if memo is None:
+        memo = {}
+        try:
+            df._strata_rows_le = memo
+        except AttributeError:  # pragma: no cover - object without a __dict__
+            pass
+    if max_rows not in memo:
+        memo[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+    return memo[max_rows]

@@ -28,6 +28,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from strata.operators.broadcast import note_rows
+
 _QUANTILE_TYPES = (
     ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType,
     DecimalType, DateType, TimestampType, TimestampNTZType,
@@ -119,4 +121,5 @@ def dense_key(
     ).drop(_BUCKET, _PREV)
     if first:
         numbered = numbered.select(sk, *[c for c in numbered.columns if c != sk])
-    return numbered
+    # The probe counted every row when it stopped short of its limit.
+    return note_rows(numbered, probe) if probe <= rows_per_bucket else numbered

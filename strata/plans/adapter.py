@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.broadcast import bounded_broadcast
 from strata.operators.dimensions import build_dimension
 from strata.plans import model
 
@@ -41,9 +42,11 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     od = table(spark, sf_dir, "orders")
     cu = table(spark, sf_dir, "customer")
     su = table(spark, sf_dir, "supplier")
-    j = (li.join(od, li.l_orderkey == od.o_orderkey)
-           .join(cu, F.col("o_custkey") == cu.c_custkey)
-           .join(su, F.col("l_suppkey") == su.s_suppkey))
+    # Orders grow with line items: always a shuffle join. Customer and
+    # supplier are broadcast only while they are within the size bound.
+    j = (li.join(od.hint("merge"), li.l_orderkey == od.o_orderkey)
+           .join(bounded_broadcast(cu), F.col("o_custkey") == cu.c_custkey)
+           .join(bounded_broadcast(su), F.col("l_suppkey") == su.s_suppkey))
     pay = (F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2)
             .when(F.col("l_returnflag") == "R", 3))
     cols = {

@@ -38,6 +38,7 @@ def get_spark(
         builder = builder.master(master)
     conf = dict(REQUIRED_CONF)
     conf.setdefault("spark.ui.enabled", "false")
+    conf.setdefault("spark.ui.showConsoleProgress", "false")
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})

@@ -82,33 +82,77 @@ def upsert(
 
     When the partition columns are among the keys only the partitions that
     ``source`` touches can change: those are read (partition pruning),
-    merged, staged, and swapped in by dynamic partition overwrite. Otherwise
-    the whole table is merged and rewritten. Parquet has no transactions, so
-    the merge result is staged completely before the target is touched.
+    merged, and swapped in by dynamic partition overwrite (Spark writes them
+    to a job staging folder and replaces the partitions only at job commit).
+    Otherwise the whole table is merged, staged under the checkpoint folder
+    (a static overwrite cannot read its own target), and rewritten.
     """
     parts = _cols(partition_cols)
-    try:
-        target = spark.read.format(fmt).load(path)
-    except Exception:  # noqa: BLE001 - no table yet: the source is the table
+    if parts and set(parts) <= set(keys):
+        # Touched partition values are few (days, months): collect them to read
+        # only those folders; the rest of the table is neither listed nor read.
+        values = [tuple(r) for r in source.select(*parts).distinct().collect()]
+        touched = _read_partitions(spark, path, parts, values, fmt)
+        if touched is None:
+            table = _read_table(spark, path, fmt)
+            if table is None:
+                write(source, path, "overwrite", parts, fmt)
+                return
+            touched = _filter_partitions(table, parts, values)
+        replace_partitions(merge(touched, source, keys), path, parts, fmt)
+        return
+    table = _read_table(spark, path, fmt)
+    if table is None:
         write(source, path, "overwrite", parts, fmt)
         return
-    if parts and set(parts) <= set(keys):
-        touched = source.select(*parts).distinct()
-        # Touched partition values are few (days, months), collect them to prune the scan.
-        values = [tuple(r) for r in touched.collect()]
-        cond = None
-        for v in values:
-            c = None
-            for col, val in zip(parts, v):
-                e = F.col(col).isNull() if val is None else (F.col(col) == F.lit(val))
-                c = e if c is None else c & e
-            cond = c if cond is None else cond | c
-        target = target.where(cond) if cond is not None else target.limit(0)
-        merged = stage(merge(target, source, keys), "upsert", fmt)
-        replace_partitions(merged, path, parts, fmt)
-    else:
-        merged = stage(merge(target, source, keys), "upsert", fmt)
-        write(merged, path, "overwrite", parts, fmt)
+    merged = stage(merge(table, source, keys), "upsert", fmt)
+    write(merged, path, "overwrite", parts, fmt)
+
+
+_GLOB_SPECIAL = set("{}[]*?\\,/=%:#\"' ")
+
+
+def _read_table(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
+    try:
+        df = spark.read.format(fmt).load(path)
+        df.schema  # noqa: B018
+        return df
+    except Exception:  # noqa: BLE001 - no table yet
+        return None
+
+
+def _read_partitions(spark: SparkSession, path: str, parts: list[str], values: list[tuple],
+                     fmt: str) -> DataFrame | None:
+    """Rows of the given partitions, listing only their folders.
+
+    One partition column with plain values: a single glob over those folders
+    (``col={v1,v2,...}``). Returns None when that does not apply or none of
+    the folders exists yet; the caller then filters the full table.
+    """
+    texts = [None if v[0] is None else str(v[0]) for v in values]
+    if not values or len(parts) != 1 or any(t is None or set(t) & _GLOB_SPECIAL for t in texts):
+        return None
+    glob = f"{path.rstrip('/')}/{parts[0]}={{{','.join(sorted(texts))}}}"
+    try:
+        df = spark.read.format(fmt).option("basePath", path).load(glob)
+        df.schema  # noqa: B018 - fails when no touched folder exists yet
+        return df
+    except Exception:  # noqa: BLE001
+        return None
+
+
+def _filter_partitions(table: DataFrame, parts: list[str], values: list[tuple]) -> DataFrame:
+    """Partition filter on the full table (pruned at planning, but listed)."""
+    if not values:
+        return table.limit(0)
+    cond = None
+    for v in values:
+        c = None
+        for col, val in zip(parts, v):
+            e = F.col(col).isNull() if val is None else (F.col(col) == F.lit(val))
+            c = e if c is None else c & e
+        cond = c if cond is None else cond | c
+    return table.where(cond)
 
 
 def logged(
