@@ -290,6 +290,9 @@ SELECT DISTINCT destination FROM log WHERE status = 'SUCCESS' AND contains(file_
     "bronze_ingest": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
        CASE WHEN year(o_orderdate) = 1999 THEN NULL ELSE o_orderpriority END AS o_orderpriority,
        CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month
+FROM orders""",
+    "stream_ingest": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month
 FROM orders""",
     "row_count_check": f"""{_STAR}
 SELECT 'fact_yellow_trip' AS check_name, (SELECT COUNT(*) FROM raw) AS source_rows,

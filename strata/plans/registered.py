@@ -351,6 +351,30 @@ def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 as a stream: orders land by month in two waves; each run ingests only new files."""
+    from pyspark.sql.types import StructField, StructType
+
+    from strata.streaming.ingest_stream import BATCH_COL, ingest_stream
+
+    o = _t(spark, sf_dir, "orders").withColumn("year_month", F.date_format("o_orderdate", "yyyy-MM"))
+    landing, target = _scratch(spark, "stream-landing"), _scratch(spark, "stream-bronze")
+    ckpt, log = _scratch(spark, "stream-ckpt"), _scratch(spark, "stream-log")
+    read_schema = StructType([StructField(n, t) for n, t in ORDERS_SCHEMA.items()] +
+                             [StructField("year_month", StringType())])
+    derive = (lambda df: df.withColumn("year", F.split("year_month", "-")[0].cast("int"))
+              .withColumn("month", F.split("year_month", "-")[1].cast("int")).drop("year_month"))
+    early = F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz")
+    args = dict(read_schema=read_schema, target=target, checkpoint=ckpt, schema=ORDERS_SCHEMA,
+                partition_cols=["year", "month"], log_path=log, derive=derive)
+    o.where(early).write.partitionBy("year_month").parquet(landing)
+    ingest_stream(spark, landing, **args)
+    o.where(~early).write.mode("append").partitionBy("year_month").parquet(landing)
+    ingest_stream(spark, landing, **args)
+    ingest_stream(spark, landing, **args)  # nothing new: no rows added
+    return spark.read.parquet(target).drop(BATCH_COL)
+
+
 def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows >= silver rows."""
     fact, _ = _fact(spark, sf_dir)
@@ -385,5 +409,6 @@ QUERIES = {
     "latest_destinations": latest_destinations,
     "successful_destinations": successful_destinations,
     "bronze_ingest": bronze_ingest,
+    "stream_ingest": stream_ingest,
     "row_count_check": row_count,
 }
