@@ -10,6 +10,7 @@ schema, the usual case, stay one scan.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DataType, StructType
@@ -31,11 +32,37 @@ def _schema_key(schema: StructType) -> tuple:
     return tuple((f.name.lower(), f.dataType.simpleString()) for f in schema.fields)
 
 
-def group_by_schema(spark: SparkSession, paths: Sequence[str], fmt: str = "parquet") -> list[list[str]]:
-    """Paths grouped by their (footer) schema, in first-seen order."""
+def _schema_of(spark: SparkSession, path: str, fmt: str) -> StructType | None:
+    """Merged schema of one folder or file; None when its own files disagree."""
+    r = spark.read.format(fmt)
+    if fmt == "parquet":
+        r = r.option("mergeSchema", "true")
+    try:
+        return r.load(path).schema
+    except Exception:  # noqa: BLE001 - incompatible files inside this folder
+        return None
+
+
+def group_by_schema(spark: SparkSession, paths: Sequence[str], fmt: str = "parquet",
+                    threads: int = 16) -> list[list[str]]:
+    """Paths grouped by schema, in first-seen order.
+
+    A landed folder is one unit (written at once, one schema), so schemas are
+    read per folder, concurrently; only a folder whose own files disagree is
+    split into its files.
+    """
+    paths = list(paths)
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(paths)))) as pool:
+        schemas = list(pool.map(lambda p: _schema_of(spark, p, fmt), paths))
     groups: dict[tuple, list[str]] = {}
-    for p in paths:
-        groups.setdefault(_schema_key(spark.read.format(fmt).load(p).schema), []).append(p)
+    for p, sch in zip(paths, schemas):
+        if sch is None:
+            files = spark.read.format(fmt).load(p).inputFiles()
+            for g in group_by_schema(spark, files, fmt, threads) if len(files) > 1 else [files]:
+                key = _schema_key(spark.read.format(fmt).load(g[0]).schema)
+                groups.setdefault(key, []).extend(g)
+            continue
+        groups.setdefault(_schema_key(sch), []).append(p)
     return list(groups.values())
 
 
@@ -62,9 +89,8 @@ def read_conformed(
         return conform(reader(True).load(paths), schema, strict=strict)
     except Exception:  # noqa: BLE001 - mixed physical schemas: fall back to groups
         pass
-    files = reader(False).load(paths).inputFiles()
-    frames = [conform(reader(False).load(group), schema, strict=strict)
-              for group in group_by_schema(spark, files, fmt)]
+    frames = [conform(reader(True).load(group), schema, strict=strict)
+              for group in group_by_schema(spark, paths, fmt)]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
