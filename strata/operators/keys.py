@@ -89,8 +89,10 @@ def dense_key(
     inside the numbering pass, no extra scan). The result has ``sk`` first
     when ``first`` is set.
     """
-    # A cheap bounded count decides whether the input needs more than one bucket.
-    probe = df.select(key).limit(rows_per_bucket + 1).count()
+    # A cheap bounded count decides whether the input needs more than one bucket
+    # (skipped when the exact row count is already known, e.g. for seed rows).
+    known = getattr(df, "_strata_rows", None)
+    probe = known if known is not None else df.select(key).limit(rows_per_bucket + 1).count()
     bounds: list = []
     if probe > rows_per_bucket:
         n, bounds = _boundaries(df, key, max_buckets)

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.broadcast import bounded_broadcast
+from strata.operators.broadcast import bounded_broadcast, note_rows
 from strata.operators.dimensions import build_dimension
 from strata.plans import model
 
@@ -93,10 +93,13 @@ def seed_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.col("n_name").alias("zone"),
         F.col("r_name").alias("service_zone"),
     )
+    def seed(rows, schema):
+        return note_rows(spark.createDataFrame(rows, schema), len(rows))
+
     return {
-        "dim_vendor": spark.createDataFrame(VENDOR_ROWS, model.VENDOR_SEED),
-        "dim_rate_code": spark.createDataFrame(RATE_CODE_ROWS, model.RATE_CODE_SEED),
-        "dim_payment_method": spark.createDataFrame(PAYMENT_ROWS, model.PAYMENT_SEED),
+        "dim_vendor": seed(VENDOR_ROWS, model.VENDOR_SEED),
+        "dim_rate_code": seed(RATE_CODE_ROWS, model.RATE_CODE_SEED),
+        "dim_payment_method": seed(PAYMENT_ROWS, model.PAYMENT_SEED),
         "dim_location": location,
     }
 
