@@ -19,7 +19,7 @@ if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
 
 from strata.plans import registered  # noqa: E402
-from strata.session import REQUIRED_CONF, ensure_checkpoint_dir  # noqa: E402
+from strata.session import REQUIRED_CONF, ensure_checkpoint_dir, size_for_local  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -27,6 +27,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 def _prepare(spark: SparkSession) -> None:
     for k, v in REQUIRED_CONF.items():
         spark.conf.set(k, v)
+    size_for_local(spark)
     ensure_checkpoint_dir(spark)
 
 

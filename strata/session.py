@@ -47,10 +47,28 @@ def get_spark(
     spark = builder.getOrCreate()
     for k, v in REQUIRED_CONF.items():
         spark.conf.set(k, v)
+    size_for_local(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
 
+LISTING_PARALLELISM = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+def size_for_local(spark: SparkSession) -> None:
+    """In local mode, size the folder-listing job to the cores there are.
+
+    Reading a table with thousands of partition folders lists them with a
+    Spark job of up to ``parallelism`` tasks (default 10000, meant for large
+    clusters); on one machine that is one tiny task per folder. Settings
+    given at launch are kept, and nothing changes on a cluster.
+    """
+    sc = spark.sparkContext
+    if not sc.master.startswith("local") or sc.getConf().contains(LISTING_PARALLELISM):
+        return
+    spark.conf.set(LISTING_PARALLELISM, str(4 * sc.defaultParallelism))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only if the session has none.
 
