@@ -79,6 +79,19 @@ def read_log(spark: SparkSession, log_path: str, layer: str | None = None) -> Da
     return df if layer is None else df.where(F.col("layer") == _layer_py(layer))
 
 
+def compact_log(spark: SparkSession, log_path: str, files_per_layer: int = 1) -> None:
+    """Rewrite the log into a few files per layer (each append adds one small file).
+
+    The rows are staged under the shared checkpoint folder first, because a
+    table cannot be overwritten while it is being read.
+    """
+    from strata.sinks.writer import stage
+
+    staged = stage(read_log(spark, log_path), "log-compact")
+    (staged.repartition(files_per_layer, "layer").write.mode("overwrite").partitionBy("layer")
+     .parquet(log_path))
+
+
 def successful(log: DataFrame) -> DataFrame:
     return log.where(F.col("status") == SUCCESS)
 

@@ -124,6 +124,16 @@ def test_logged_write_records_status_and_reraises(spark, tmp_dir):
     assert runlog.is_loaded(got, "f1") and not runlog.is_loaded(got, "f2")
 
 
+def test_compact_log_keeps_rows(spark, tmp_dir):
+    for i in range(5):
+        runlog.record(spark, tmp_dir, file_name=f"f{i}", source="s", destination="d", status="SUCCESS",
+                      load_type="append", layer="silver" if i % 2 else "bronze")
+    before = rows(runlog.read_log(spark, tmp_dir), "id", "file_name", "layer")
+    runlog.compact_log(spark, tmp_dir)
+    assert rows(runlog.read_log(spark, tmp_dir), "id", "file_name", "layer") == before
+    assert len([f for f in os.listdir(f"{tmp_dir}/layer=bronze") if f.endswith(".parquet")]) == 1
+
+
 def test_latest_destinations_ties_break_by_id_and_pattern_is_literal(spark):
     t = dt.datetime(2024, 1, 1)
     log = runlog.log_rows(spark, [
