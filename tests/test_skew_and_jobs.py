@@ -77,3 +77,34 @@ def test_catalog_from_mapping_loads_dependencies(spark, tmp_dir):
     })
     deps = cat.load_dependencies(spark, "c")
     assert {k: v.count() for k, v in deps.items()} == {"a": 3, "b": 5}
+
+
+def test_fact_dedup_per_source_file(spark, tmp_dir):
+    from strata.operators.identity import with_source_file
+    from strata.plans import fact, model
+
+    ts = dt.datetime(2020, 5, 1, 8, 0)
+    cols = {c: None for c in model.BRONZE_COLUMNS}
+    trip = dict(cols, VendorID=1, tpep_pickup_datetime=ts, tpep_dropoff_datetime=ts + dt.timedelta(minutes=9),
+                passenger_count=1, trip_distance=2.0, PULocationID=1, DOLocationID=2, payment_type=1, fare_amount=9.5)
+    schema = StructType([StructField(c, t) for c, t in model.BRONZE_SCHEMA.items()])
+    one = spark.createDataFrame([tuple(trip[c] for c in model.BRONZE_COLUMNS)] * 2, schema)
+    one.coalesce(1).write.parquet(f"{tmp_dir}/m1")
+    one.limit(1).coalesce(1).write.parquet(f"{tmp_dir}/m2")
+    bronze = with_source_file(spark.read.parquet(f"{tmp_dir}/m1", f"{tmp_dir}/m2"))
+    dims = {
+        "dim_vendor": spark.createDataFrame([(1, 1, "v")], "vendor_sk int, vendor_id int, description string"),
+        "dim_rate_code": spark.createDataFrame([(1, 1, "r")], "rate_code_sk int, rate_code_id int, description string"),
+        "dim_payment_method": spark.createDataFrame([(1, 1, "p")],
+                                                    "payment_method_sk int, payment_method_id int, description string"),
+        "dim_location": spark.createDataFrame([(1, 1, "b", "z", "s"), (2, 2, "b", "z", "s")],
+                                              "location_sk int, location_id int, borough string, zone string, "
+                                              "service_zone string"),
+    }
+    per_file = fact.build_fact(bronze, dims, as_of="2024-01-01", dedup_scope="source")
+    whole = fact.build_fact(bronze, dims, as_of="2024-01-01")
+    assert per_file.count() == 2 and whole.count() == 1
+    assert per_file.columns == model.FACT_COLUMNS
+    assert {r.trip_id for r in per_file.collect()} == {whole.first().trip_id}
+    r = whole.first()
+    assert (r.vendor_sk, r.pu_location_sk, r.do_location_sk, r.rate_code_sk) == (1, 1, 2, None)
