@@ -95,6 +95,12 @@ def dense_key(
     probe = known if known is not None else df.select(key).limit(rows_per_bucket + 1).count()
     bounds: list = []
     if probe > rows_per_bucket:
+        # Three passes follow (quantiles, bucket counts, numbering): write the
+        # input once to the shared checkpoint folder so each pass reads a table
+        # instead of recomputing the upstream plan, and lineage stays short.
+        from strata.sinks.writer import stage
+
+        df = stage(df, "dense-key-input")
         n, bounds = _boundaries(df, key, max_buckets)
         wanted = min(max_buckets, max(1, math.ceil(n / rows_per_bucket)))
         stride = max(1, math.ceil((len(bounds) + 1) / wanted))
