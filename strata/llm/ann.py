@@ -27,9 +27,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PROJECTIONS = 64
-THRESHOLD = 0.5
-VERIFIED = 0.10
-GROWTH = 1.4
+THRESHOLD = 0.6
+VERIFIED = 0.12
+GROWTH = 1.2
 ROWS_PER_BLOCK = 16_384
 QUERIES_PER_BLOCK = 512
 
@@ -49,41 +49,56 @@ class Block:
         spare = np.sqrt(np.maximum(0.0, top_norm**2 - (x * x).sum(1)))
         self.a = directions(x.shape[1] + 1, m)
         p = np.concatenate([x, spare[:, None]], 1) @ self.a
-        self.order = np.argsort(p, axis=0).T.astype(np.int32).copy()
-        self.sorted = np.take_along_axis(p, self.order.T, 0).T.copy()
-        # the first windows hold some 5 % of a typical direction each
-        self.start = 0.05 * float(np.median(self.sorted[:, -1] - self.sorted[:, 0])) / 4 + 1e-9
-
-    def candidates(self, q: np.ndarray, threshold: int, enough: int) -> np.ndarray:
-        n = len(self.ids)
+        order = np.argsort(p, axis=0)
+        self.sorted = np.take_along_axis(p, order, 0).T.copy()
+        # where each row stands in each sorted array, in 256 steps: a window of an array is a range of steps
+        n = len(ids)
+        self.step = np.empty(p.shape[::-1], np.uint8)
+        np.put_along_axis(self.step, order.T, (np.arange(n) * 256 // n).astype(np.uint8)[None, :], 1)
+        # the first windows hold some 30 % of the rows around the middle of a direction
+        a, b = (self.sorted[:, min(n - 1, int(q * n))] for q in (0.35, 0.65))
+        self.start = float(np.median(b - a)) / 2 + 1e-9
+
+    def candidates(self, queries: np.ndarray, threshold: int, enough: int) -> list[np.ndarray]:
+        """Per query the rows in at least ``threshold`` of its windows, widened until they are ``enough``."""
+        n, left = len(self.ids), np.arange(len(queries))
+        out = [np.arange(n)] * len(queries)
         if n <= enough:
-            return np.arange(n)
-        at = np.concatenate([q * (self.top / np.sqrt(q @ q)), [0.0]]) @ self.a
-        mid = [int(np.searchsorted(s, v)) for s, v in zip(self.sorted, at, strict=True)]
-        lo, hi = list(mid), list(mid)
-        counts, width = np.zeros(n, np.int64), self.start
-        while True:
-            fresh = []
-            for j, (s, v) in enumerate(zip(self.sorted, at, strict=True)):
-                a, b = np.searchsorted(s, (v - width, v + width))
-                a, b = min(int(a), lo[j]), max(int(b), hi[j])
-                fresh += [self.order[j, a:lo[j]], self.order[j, hi[j]:b]]
-                lo[j], hi[j] = a, b
-            counts += np.bincount(np.concatenate(fresh), minlength=n)
-            found = np.flatnonzero(counts >= threshold)
-            if len(found) >= enough or all(b - a == n for a, b in zip(lo, hi, strict=True)):
-                return found
-            width *= GROWTH
-
-    def nearest(self, q: np.ndarray, own: int, k: int, threshold: float, verified: float) -> tuple[np.ndarray, np.ndarray]:
-        c = self.candidates(q, int(np.ceil(threshold * len(self.sorted))), k + 1 + int(verified * len(self.ids)))
-        c = c[self.ids[c] != own]
-        rough = self.x[c] @ q
-        if len(c) > k:  # rounding of the fast product must not decide between ties
-            c = c[rough >= np.partition(rough, len(c) - k)[len(c) - k] - 1e-9 * self.top * np.sqrt(q @ q)]
-        score = (self.x[c] * q).sum(1)
-        best = np.lexsort((self.ids[c], -score))[:k]
-        return self.ids[c][best], score[best]
+            return out
+        long = self.top / np.sqrt((queries * queries).sum(1))
+        at = np.concatenate([queries * long[:, None], np.zeros((len(queries), 1))], 1) @ self.a
+        width = self.start
+        while len(left):
+            first = np.stack([s.searchsorted(v) for s, v in zip(self.sorted, (at[left] - width).T, strict=True)], 1)
+            last = np.stack([s.searchsorted(v) for s, v in zip(self.sorted, (at[left] + width).T, strict=True)], 1)
+            low = (np.minimum(first, n - 1) * 256 // n).astype(np.uint8)
+            span = (np.maximum(last - 1, np.minimum(first, n - 1)) * 256 // n).astype(np.uint8) - low
+            open_ = []
+            for i, q in enumerate(left):
+                # one unsigned comparison tells whether a step lies in its window; bytes are summed fastest
+                inside = ((self.step - low[i][:, None]) <= span[i][:, None]).view(np.uint8)
+                counts = np.add.reduce(inside, 0, dtype=np.uint8 if len(inside) < 256 else np.uint16)
+                found = np.flatnonzero(counts >= threshold)
+                if len(found) >= enough or (last[i] - first[i]).min() == n:
+                    out[q] = found
+                else:
+                    open_.append(q)
+            left, width = np.array(open_, np.int64), width * GROWTH
+        return out
+
+    def nearest(self, queries: np.ndarray, own: np.ndarray, k: int, threshold: float, verified: float) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per query (ids, scores) of the best ``k`` of its candidates other than its own row."""
+        out = []
+        enough = k + 1 + int(verified * len(self.ids))
+        for c, q, me in zip(self.candidates(queries, int(np.ceil(threshold * len(self.sorted))), enough), queries, own, strict=True):
+            c = c[self.ids[c] != me]
+            rough = self.x[c] @ q
+            if len(c) > k:  # rounding of the fast product must not decide between ties
+                c = c[rough >= np.partition(rough, len(c) - k)[len(c) - k] - 1e-9 * self.top * np.sqrt(q @ q)]
+            score = (self.x[c] * q).sum(1)
+            best = np.lexsort((self.ids[c], -score))[:k]
+            out.append((self.ids[c][best], score[best]))
+        return out
 
 
 def _matrix(col: pa.ChunkedArray) -> np.ndarray:
@@ -123,8 +138,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, projections: int =
         if q.any() and not q.all():
             x = _matrix(t.column("v"))
             block = Block(ids[~q], x[~q], top, projections)
-            for own, v in zip(ids[q], x[q], strict=True):
-                out.append((own, *block.nearest(v, own, k, threshold, verified)))
+            out = [(own, *found) for own, found in zip(ids[q], block.nearest(x[q], ids[q], k, threshold, verified), strict=True)]
         return pa.table({"query_id": pa.array(np.concatenate([np.full(len(i), own) for own, i, _ in out]) if out else [], pa.int64()),
                          "vec_id": pa.array(np.concatenate([i for _, i, _ in out]) if out else [], pa.int64()),
                          "score": pa.array(np.concatenate([z for _, _, z in out]) if out else [], pa.float64())})
