@@ -143,13 +143,16 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
           per_language: int = PER_LANGUAGE, sample_chars: int = SAMPLE_CHARS, families: dict[str, str] | None = None) -> Model:
     """Fit on at most ``per_language`` rows a language, the first by a hash of ``key``."""
     known = FAMILIES if families is None else families
-    order = F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("")))
-    # two steps, so that no task ranks a whole language: first within 64 parts of each, then among their best
-    part = F.pmod(F.hash(F.col(key).cast("string"), F.lit(5)), F.lit(64))
-    rows = (labelled.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
-            .select(F.col(lang).alias("lang"), F.substring(F.col(text), 1, sample_chars).alias("text"), order.alias("o"), part.alias("p")))
-    quota = -(-per_language // 64)
-    ranked = rows.withColumn("r", F.row_number().over(Window.partitionBy("lang", "p").orderBy("o", "text"))).where(F.col("r") <= quota)
+    rows = labelled.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"),
+                                                          F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("o"))
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row a language
+    if not counts:
+        return Model({}, [], [], np.zeros(((2 << BITS) + 1, 0)))
+    # by the hash alone most rows are out before anything is shuffled; the rank then sets the exact bound
+    rate = F.element_at(F.create_map(*[F.lit(x) for n, c in counts.items() for x in (n, min(1.0, 1.5 * per_language / c))]), F.col("lang"))
+    likely = (rows.where(F.pmod("o", F.lit(1 << 30)) < rate * float(1 << 30)).where(F.col("text").rlike(r"\p{L}"))
+              .withColumn("text", F.substring("text", 1, sample_chars)))
+    ranked = likely.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("o", "text"))).where(F.col("r") <= per_language)
     sample = sorted((r["lang"], r["o"], r["text"]) for r in ranked.select("lang", "o", "text").collect())
     names = sorted({s[0] for s in sample})
     vectors = [(s[0], _vector(f)) for s in sample if len(f := features(s[2]))]
