@@ -120,4 +120,5 @@ def count(docs: DataFrame, folder: str, ranks: str = RANKS) -> DataFrame:
     from strata.sinks.writer import stage
 
     written = stage(write_tokens(docs, folder, ranks), "token-files")
-    return scan(written.select("file")).join(written, ["file", "ordinal"]).select("doc_id", "n_tokens")
+    # both sides grow with the documents: never broadcast, however small dictionary coding makes the file look
+    return scan(written.select("file")).join(written.hint("merge"), ["file", "ordinal"]).select("doc_id", "n_tokens")
