@@ -19,7 +19,7 @@ if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
 
 from strata.plans import registered  # noqa: E402
-from strata.session import REQUIRED_CONF, ensure_checkpoint_dir, size_for_local  # noqa: E402
+from strata.session import REQUIRED_CONF, ensure_checkpoint_dir  # noqa: E402
 
 try:  # the training-data operators are an optional part
     import corpus_pipeline
@@ -36,7 +36,6 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 def _prepare(spark: SparkSession) -> None:
     for k, v in REQUIRED_CONF.items():
         spark.conf.set(k, v)
-    size_for_local(spark)
     ensure_checkpoint_dir(spark)
 
 
@@ -236,7 +235,11 @@ SELECT 'dim_rate_code', rate_code_sk, rate_code_id, description FROM dim_rate_co
 UNION ALL
 SELECT 'dim_payment_method', payment_method_sk, payment_method_id, description FROM dim_payment_method
 UNION ALL
-SELECT 'dim_location', location_sk, location_id, zone FROM dim_location""",
+SELECT 'dim_location', location_sk, location_id, zone FROM dim_location
+UNION ALL
+SELECT 'dim_date', NULL, CAST(strftime(CAST(g AS DATE), '%Y%m%d') AS INTEGER), strftime(CAST(g AS DATE), '%Y-%m-%d')
+FROM (SELECT CAST(MIN(o_orderdate) AS DATE) AS lo, CAST(MAX(o_orderdate) AS DATE) AS hi FROM orders) b,
+     generate_series(b.lo, b.hi, INTERVAL 1 DAY) t(g)""",
     "upsert": """WITH o AS (SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority FROM orders),
 t AS (SELECT * FROM o WHERE o_orderdate < TIMESTAMP '1999-01-01'),
 s AS (
@@ -285,7 +288,7 @@ WHERE 'yellow_tripdata_' || year_month || '.parquet' NOT IN (SELECT file_name FR
     "load_log": """SELECT event_id AS id, event_type || '_file' AS file_name, 'events' AS source,
        'dest/' || CAST(user_id AS VARCHAR) AS destination,
        CASE WHEN event_type <> 'error' THEN 'SUCCESS' ELSE 'FAILED' END AS status, 'append' AS load_type,
-       'None' AS error,
+       ts AS processed_at, 'None' AS error,
        CASE event_type WHEN 'click' THEN 'bronze' WHEN 'view' THEN 'silver' WHEN 'purchase' THEN 'gold'
             ELSE 'faulty' END AS layer
 FROM events""",
@@ -304,6 +307,22 @@ FROM orders""",
     "stream_ingest": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
        CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month
 FROM orders""",
+    "ingest_log": """WITH m AS (
+  SELECT strftime(o_orderdate, '%Y-%m') AS ym, CAST(year(o_orderdate) AS VARCHAR) AS y, CAST(month(o_orderdate) AS VARCHAR) AS mo,
+         row_number() OVER (ORDER BY strftime(o_orderdate, '%Y-%m') DESC) <= 3 AS latest
+  FROM orders GROUP BY 1, 2, 3
+)
+SELECT 'orders_' || ym || '.parquet' AS file_name, 'landing/year_month=' || ym AS source,
+       'bronze/year=' || y || '/month=' || mo || '/' AS destination, status, 'overwrite' AS load_type, 'None' AS error,
+       'bronze' AS layer, latest
+FROM m, (VALUES ('UPLOADING'), ('SUCCESS')) s(status)""",
+    "leaf_scan": "SELECT * FROM orders WHERE o_orderstatus = 'F'",
+    "full_refresh_shrinks": f"{_STAR}\nSELECT * FROM fact WHERE partition_day < DATE '2000-01-01'",
+    "upsert_moves_partition": """SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus
+FROM orders""",
+    "dedup_by_month": f"""{_STAR}
+SELECT fact.* FROM fact, (VALUES (1), (2)) landed(n) WHERE partition_day >= DATE '2000-01-01'""",
     "row_count_check": f"""{_STAR}
 SELECT 'fact_yellow_trip' AS check_name, (SELECT COUNT(*) FROM raw) AS source_rows,
        (SELECT COUNT(*) FROM fact) AS target_rows,

@@ -1,45 +1,31 @@
-"""Broadcast only behind a proven size bound."""
+"""Broadcast only behind a proven size bound, decided while planning."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows a narrow lookup side may have and still be shipped to every task.
-DEFAULT_MAX_ROWS = 1_000_000
+# Estimated bytes that a lookup side may have and still be shipped to every task.
+DEFAULT_MAX_BYTES = 32 << 20
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df``: file sizes carried through the plan; no job runs.
 
-    The bound is checked by a limited count (stops after ``max_rows + 1``
-    rows), so a side that grows with the data falls back to a shuffle join
-    chosen by Catalyst/AQE instead of overflowing driver and executor memory.
+    Joins without statistics multiply the sizes of their sides and filters do
+    not shrink them, so the estimate errs on the large side.
     """
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
-
-
-def note_rows(df: DataFrame, n: int) -> DataFrame:
-    """Record a known exact row count on ``df`` (spares later size checks a job)."""
-    try:
-        df._strata_rows = n
-    except AttributeError:  # pragma: no cover
-        pass
-    return df
-
-
-def is_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; checked once per DataFrame object."""
-    known = getattr(df, "_strata_rows", None)
-    if known is not None:
-        return known <= max_rows
-    memo = getattr(df, "_strata_rows_le", None)
-    if memo is None:
-        memo = {}
-        try:
-            df._strata_rows_le = memo
-        except AttributeError:  # pragma: no cover - object without a __dict__
-            pass
-    if max_rows not in memo:
-        memo[max_rows] = df.limit(max_rows + 1).count() <= max_rows
-    return memo[max_rows]
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def is_bounded(df: DataFrame, max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
+    return estimated_bytes(df) <= max_bytes
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
+    """``broadcast(df)`` if it is estimated at no more than ``max_bytes``, else ``df`` unchanged.
+
+    A side that grows with the data falls back to the shuffle join that
+    Catalyst and AQE choose instead of overflowing driver and executor memory.
+    """
+    return F.broadcast(df) if is_bounded(df, max_bytes) else df

@@ -6,13 +6,12 @@ quantiles of the key (one aggregate pass), numbered inside each bucket by a
 partitioned window, and shifted by the row count of all lower buckets. The
 bucket of a row is a pure function of its key, so the count pass and the
 numbering pass agree however often a task is retried. Buckets are balanced
-by rank, so a dense run of keys does not pile into one task.
+by rank, so a dense run of keys does not pile into one task. It is the same
+plan at every size.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -28,8 +27,6 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from strata.operators.broadcast import note_rows
-
 _QUANTILE_TYPES = (
     ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType,
     DecimalType, DateType, TimestampType, TimestampNTZType,
@@ -49,29 +46,18 @@ def _bucket_expr(key: Column, bounds: list) -> Column:
     return build(0, len(bounds))
 
 
-def _boundaries(df: DataFrame, key: str, n_buckets: int) -> tuple[int, list]:
-    """Row count and up to ``n_buckets - 1`` sorted, distinct key boundaries."""
-    dtype = df.schema[key].dataType
-    if n_buckets <= 1:
-        return df.count(), []
-    if isinstance(dtype, _QUANTILE_TYPES):
+def _boundaries(df: DataFrame, key: str, n_buckets: int) -> list:
+    """Up to ``n_buckets - 1`` sorted, distinct key boundaries."""
+    if isinstance(df.schema[key].dataType, _QUANTILE_TYPES):
         probs = [i / n_buckets for i in range(1, n_buckets)]
-        row = df.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.percentile_approx(F.col(key), probs, 10_000).alias("b"),
-        ).first()
-        n, bounds = row["n"], row["b"] or []
+        found = df.agg(F.percentile_approx(F.col(key), probs, 10_000).alias("b")).first()["b"] or []
     else:
-        # keys without quantile support (strings): a bounded sorted sample
-        n = df.count()
-        want = 64 * n_buckets
-        frac = min(1.0, want / max(n, 1))
-        sample = [r[0] for r in df.select(key).sample(fraction=frac, seed=17)
-                  .where(F.col(key).isNotNull()).orderBy(key).collect()]
-        step = max(1, len(sample) // n_buckets)
-        bounds = sample[step::step][: n_buckets - 1]
-    bounds = sorted({b for b in bounds if b is not None})
-    return n, bounds
+        # keys without quantile support (strings): quantiles of a bounded sample, the first by hash
+        sample = df.select(key).where(F.col(key).isNotNull()).orderBy(F.xxhash64(key), key).limit(64 * n_buckets)
+        values = sorted(r[0] for r in sample.collect())
+        step = max(1, len(values) // n_buckets)
+        found = values[step::step][: n_buckets - 1]
+    return sorted({b for b in found if b is not None})
 
 
 def dense_key(
@@ -79,45 +65,32 @@ def dense_key(
     key: str,
     sk: str,
     offset: int = 0,
-    rows_per_bucket: int = 2_000_000,
-    max_buckets: int = 512,
+    buckets: int = 128,
     first: bool = True,
+    stage_input: bool = True,
 ) -> DataFrame:
     """Add ``sk`` = 1-based rank of ``key`` (+ ``offset``) as INT.
 
     ``key`` must be unique and not NULL; a violation fails the job (checked
     inside the numbering pass, no extra scan). The result has ``sk`` first
-    when ``first`` is set.
+    when ``first`` is set. Three passes read the input (quantiles, bucket
+    counts, numbering), so it is written once to the shared checkpoint folder;
+    callers whose input is itself a plain scan or a few literal rows may skip
+    that with ``stage_input=False``.
     """
-    # A cheap bounded count decides whether the input needs more than one bucket
-    # (skipped when the exact row count is already known, e.g. for seed rows).
-    known = getattr(df, "_strata_rows", None)
-    probe = known if known is not None else df.select(key).limit(rows_per_bucket + 1).count()
-    bounds: list = []
-    if probe > rows_per_bucket:
-        # Three passes follow (quantiles, bucket counts, numbering): write the
-        # input once to the shared checkpoint folder so each pass reads a table
-        # instead of recomputing the upstream plan, and lineage stays short.
+    if stage_input:
         from strata.sinks.writer import stage
 
         df = stage(df, "dense-key-input")
-        n, bounds = _boundaries(df, key, max_buckets)
-        wanted = min(max_buckets, max(1, math.ceil(n / rows_per_bucket)))
-        stride = max(1, math.ceil((len(bounds) + 1) / wanted))
-        bounds = bounds[stride - 1 :: stride]
     kcol = F.col(key)
-    bucket = _bucket_expr(kcol, bounds) if bounds else F.lit(0)
-    tagged = df.withColumn(_BUCKET, bucket)
-
-    if bounds:
-        counts = dict(tagged.groupBy(_BUCKET).count().collect())
-        starts, acc = [], 0
-        for b in range(len(bounds) + 1):
-            starts.append(acc)
-            acc += counts.get(b, 0)
-        base = F.element_at(F.array(*[F.lit(s) for s in starts]), F.col(_BUCKET) + 1)
-    else:
-        base = F.lit(0)
+    bounds = _boundaries(df, key, buckets)
+    tagged = df.withColumn(_BUCKET, _bucket_expr(kcol, bounds))
+    counts = dict(tagged.groupBy(_BUCKET).count().collect())  # a row a bucket
+    starts, acc = [], 0
+    for b in range(len(bounds) + 1):
+        starts.append(acc)
+        acc += counts.get(b, 0)
+    base = F.element_at(F.array(*[F.lit(s) for s in starts]), F.col(_BUCKET) + 1)
 
     w = Window.partitionBy(_BUCKET).orderBy(kcol)
     rn = F.row_number().over(w)
@@ -127,7 +100,4 @@ def dense_key(
         .when(F.col(_PREV) == kcol, F.raise_error(F.concat(F.lit(f"dense_key: duplicate {key} "), kcol.cast("string"))))
         .otherwise((rn + base + F.lit(offset)).cast("int")),
     ).drop(_BUCKET, _PREV)
-    if first:
-        numbered = numbered.select(sk, *[c for c in numbered.columns if c != sk])
-    # The probe counted every row when it stopped short of its limit.
-    return note_rows(numbered, probe) if probe <= rows_per_bucket else numbered
+    return numbered.select(sk, *[c for c in numbered.columns if c != sk]) if first else numbered

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 
-from strata.operators.broadcast import DEFAULT_MAX_ROWS
+from strata.operators.broadcast import DEFAULT_MAX_BYTES
 from strata.operators.lookup import attach
 
 
@@ -22,10 +22,10 @@ class Label:
     out: str
 
 
-def label(fact: DataFrame, labels: Sequence[Label], max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+def label(fact: DataFrame, labels: Sequence[Label], max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
     out = fact
     for lb in labels:
-        out = attach(out, lb.dim, lb.sk, lb.fact_sk, {lb.label: lb.out}, max_rows)
+        out = attach(out, lb.dim, lb.sk, lb.fact_sk, {lb.label: lb.out}, max_bytes)
     return out
 
 
@@ -34,7 +34,7 @@ def star_aggregate(
     labels: Sequence[Label],
     groups: Sequence[str | Column],
     measures: Mapping[str, Column],
-    max_rows: int = DEFAULT_MAX_ROWS,
+    max_bytes: int = DEFAULT_MAX_BYTES,
 ) -> DataFrame:
     """Label the fact, then ``groupBy(groups).agg(measures)``.
 
@@ -43,5 +43,5 @@ def star_aggregate(
     label costs one row per task, not one per trip. NULL sks give NULL labels,
     which form their own group, as in SQL.
     """
-    labelled = label(fact, labels, max_rows)
+    labelled = label(fact, labels, max_bytes)
     return labelled.groupBy(*groups).agg(*[c.alias(n) for n, c in measures.items()])

@@ -65,8 +65,12 @@ def log_rows(spark: SparkSession, records: Iterable[Mapping]) -> DataFrame:
 
 
 def append_log(rows: DataFrame, log_path: str) -> None:
-    """Append log rows, partitioned by layer (one table, one folder a layer)."""
-    rows.coalesce(1).write.mode("append").partitionBy("layer").parquet(log_path)
+    """Append log rows, partitioned by layer (one table, one folder a layer).
+
+    Rows are gathered by layer; AQE makes one file of a few rows and splits a
+    layer that is large.
+    """
+    rows.hint("rebalance", "layer").write.mode("append").partitionBy("layer").parquet(log_path)
 
 
 def record(spark: SparkSession, log_path: str, **fields) -> None:
@@ -74,8 +78,11 @@ def record(spark: SparkSession, log_path: str, **fields) -> None:
 
 
 def read_log(spark: SparkSession, log_path: str, layer: str | None = None) -> DataFrame:
-    """The log, optionally one layer (a partition filter)."""
-    df = spark.read.schema(LOG_SCHEMA).parquet(log_path)
+    """The log, optionally one layer (a partition filter).
+
+    A row that a retried writer appended again (same id, status and file) counts once.
+    """
+    df = spark.read.schema(LOG_SCHEMA).parquet(log_path).dropDuplicates(["id", "status", "file_name"])
     return df if layer is None else df.where(F.col("layer") == _layer_py(layer))
 
 
@@ -88,8 +95,8 @@ def compact_log(spark: SparkSession, log_path: str, files_per_layer: int = 1) ->
     from strata.sinks.writer import stage
 
     staged = stage(read_log(spark, log_path), "log-compact")
-    (staged.repartition(files_per_layer, "layer").write.mode("overwrite").partitionBy("layer")
-     .parquet(log_path))
+    (staged.repartition(files_per_layer, "layer").write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("layer").parquet(log_path))
 
 
 def successful(log: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.broadcast import bounded_broadcast, note_rows
+from strata.operators.broadcast import bounded_broadcast
 from strata.operators.dimensions import build_dimension
 from strata.plans import model
 
@@ -94,7 +94,7 @@ def seed_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.col("r_name").alias("service_zone"),
     )
     def seed(rows, schema):
-        return note_rows(spark.createDataFrame(rows, schema), len(rows))
+        return spark.createDataFrame(rows, schema)
 
     return {
         "dim_vendor": seed(VENDOR_ROWS, model.VENDOR_SEED),
@@ -109,5 +109,5 @@ def dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     out = {}
     for name, seed in seed_frames(spark, sf_dir).items():
         nk, sk = model.DIMENSION_KEYS[name]
-        out[name] = build_dimension(seed, nk, sk)
+        out[name] = build_dimension(seed, nk, sk, stage_input=False)  # a few rows, or a scan of two small tables
     return out

@@ -7,46 +7,59 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.operators.dimensions import build_dimension, extend_dimension
-from strata.sinks.writer import stage, write
+from strata.operators.dimensions import build_dimension, extend_dimension, new_members
+from strata.sinks.writer import logged, stage, write
+from strata.sources.paths import table_exists
+from strata.sources.seeds import read_dimension
 
 
 @dataclass(frozen=True)
 class DimensionSpec:
+    """One dimension: its natural key, its surrogate key (None: the natural key serves, as in a calendar) and its rows."""
+
     name: str
     key: str
-    sk: str
+    sk: str | None
     seed: Callable[[SparkSession], DataFrame]
     path: str
     order: int = 0
     enabled: bool = True
     fmt: str = "parquet"
+    source: str = "seed"
 
 
-def _exists(spark: SparkSession, spec: DimensionSpec) -> DataFrame | None:
-    try:
-        df = spark.read.format(spec.fmt).load(spec.path)
-        df.schema  # noqa: B018
-        return df
-    except Exception:  # noqa: BLE001 - not written yet
-        return None
+def _next_version(spark: SparkSession, spec: DimensionSpec, incremental: bool) -> DataFrame:
+    seed = spec.seed(spark)
+    # Only a table that does not exist is built anew; one that cannot be read raises
+    # here, since building it again would renumber its keys.
+    if not (incremental and table_exists(spark, spec.path)):
+        return seed if spec.sk is None else build_dimension(seed, spec.key, spec.sk)
+    current = read_dimension(spark, spec.path, spec.fmt)
+    if spec.sk is None:
+        newer = current.unionByName(new_members(current, seed.select(*current.columns), spec.key).select(*current.columns))
+    else:
+        newer = extend_dimension(current, seed, spec.key, spec.sk)
+    # The new version is staged first: the old one is still being read.
+    return stage(newer, f"dim-{spec.name}", spec.fmt)
 
 
-def build_all(spark: SparkSession, specs: Sequence[DimensionSpec], incremental: bool = True) -> dict[str, DataFrame]:
+def build_all(spark: SparkSession, specs: Sequence[DimensionSpec], incremental: bool = True,
+              log_path: str | None = None) -> dict[str, DataFrame]:
     """Enabled dimensions in ``order``; each written, then returned as read back.
 
     With ``incremental`` an existing dimension is extended (old surrogate keys
     never move); otherwise, or when none exists, it is built from its seed.
+    With ``log_path`` every write is wrapped in the load log.
     """
     out = {}
     for spec in sorted((s for s in specs if s.enabled), key=lambda s: s.order):
-        seed = spec.seed(spark)
-        current = _exists(spark, spec) if incremental else None
-        if current is None:
-            dim = build_dimension(seed, spec.key, spec.sk)
+        def action(spec=spec):
+            write(_next_version(spark, spec, incremental), spec.path, "overwrite", None, spec.fmt)
+
+        if log_path is None:
+            action()
         else:
-            # The new version is staged first: the old one is still being read.
-            dim = stage(extend_dimension(current, seed, spec.key, spec.sk), f"dim-{spec.name}", spec.fmt)
-        write(dim, spec.path, "overwrite", None, spec.fmt)
-        out[spec.name] = spark.read.format(spec.fmt).load(spec.path)
+            logged(spark, log_path, action, file_name=spec.name, source=spec.source, destination=spec.path,
+                   load_type="overwrite", layer="silver")
+        out[spec.name] = read_dimension(spark, spec.path, spec.fmt)
     return out

@@ -19,6 +19,7 @@ from strata.operators import runlog
 from strata.sinks.writer import replace_partitions
 from strata.sources.landing import read_conformed
 from strata.sources.months import with_source_names
+from strata.sources.paths import path_exists, table_exists
 
 
 def plan_months(months: DataFrame, source_name: str, landing: str, target: str, log: DataFrame | None) -> DataFrame:
@@ -40,30 +41,51 @@ def ingest(
 ) -> list[str]:
     """Ingest every pending month of ``months``; return the months loaded.
 
+    Every month is logged with its own landed folder and target folder,
+    UPLOADING before anything is read. Months that are not there are FAILED,
+    and stay pending, without holding up the others. If the job over all
+    others fails, they are loaded one by one, so that a bad month fails alone
+    (its whole error text is logged); an error never takes a loaded month back.
+
     The pending list is metadata (one row a month) and is collected to name
     the folders to read; the data itself never passes through the driver.
     """
-    try:
-        log = runlog.read_log(spark, log_path, "bronze")
-        log.schema  # noqa: B018 - fails if the log does not exist yet
-    except Exception:  # noqa: BLE001
-        log = None
-    todo = plan_months(months, source_name, landing, target, log).orderBy("year_month").collect()
+    log = runlog.read_log(spark, log_path, "bronze") if table_exists(spark, log_path) else None
+    todo = {r["year_month"]: r for r in plan_months(months, source_name, landing, target, log).orderBy("year_month").collect()}
     if not todo:
         return []
-    paths = [landed_path(landing, r["year_month"]) for r in todo]
-    df = read_conformed(spark, paths, schema, strict=strict, base_path=landing)
-    df = df.withColumn("year", F.split("year_month", "-")[0].cast("int")) \
-           .withColumn("month", F.split("year_month", "-")[1].cast("int")).drop("year_month")
-    base = dict(source=landing, destination=target, load_type="overwrite", layer="bronze")
-    runlog.append_log(runlog.log_rows(spark, [dict(file_name=r["file_name"], status=runlog.UPLOADING, **base)
-                                              for r in todo]), log_path)
-    try:
+
+    def note(yms: list[str], status: str, error: str | None = None) -> None:
+        if yms:
+            runlog.append_log(runlog.log_rows(spark, [
+                dict(file_name=todo[ym]["file_name"], source=landed_path(landing, ym), layer="bronze", load_type="overwrite",
+                     destination=f"{target.rstrip('/')}/year={todo[ym]['year']}/month={todo[ym]['month']}/", status=status, error=error)
+                for ym in yms]), log_path)
+
+    def load(yms: list[str]) -> None:
+        df = read_conformed(spark, [landed_path(landing, ym) for ym in yms], schema, strict=strict, base_path=landing)
+        parts = F.split("year_month", "-")
+        df = df.withColumn("year", parts[0].cast("int")).withColumn("month", parts[1].cast("int")).drop("year_month")
         replace_partitions(df, target, ["year", "month"])
-    except Exception as e:
-        runlog.append_log(runlog.log_rows(spark, [dict(file_name=r["file_name"], status=runlog.FAILED,
-                                                       error=str(e)[:2000], **base) for r in todo]), log_path)
-        raise
-    runlog.append_log(runlog.log_rows(spark, [dict(file_name=r["file_name"], status=runlog.SUCCESS, **base)
-                                              for r in todo]), log_path)
-    return [r["year_month"] for r in todo]
+
+    note(list(todo), runlog.UPLOADING)
+    there = [ym for ym in todo if path_exists(spark, landed_path(landing, ym))]
+    for ym in todo:
+        if ym not in there:
+            note([ym], runlog.FAILED, f"nothing landed at {landed_path(landing, ym)}")
+    try:
+        if there:
+            load(there)
+    except Exception:  # noqa: BLE001 - each month for itself; its error is logged below
+        loaded = []
+        for ym in there:
+            try:
+                load([ym])
+            except Exception as e:  # noqa: BLE001
+                note([ym], runlog.FAILED, str(e))
+            else:
+                loaded.append(ym)
+                note([ym], runlog.SUCCESS)
+        return loaded
+    note(there, runlog.SUCCESS)
+    return there

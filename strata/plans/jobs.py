@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from strata.functions.dates import DateLike
 from strata.operators.checks import row_count_check
+from strata.operators.dimensions import calendar
 from strata.plans import fact as fact_jobs
 from strata.plans import model
 from strata.plans.dims import DimensionSpec, build_all
@@ -31,17 +32,24 @@ class Lake:
     landing: str
     source_name: str = "yellow_tripdata"
     seeds: Mapping[str, tuple[str, StructType]] = field(default_factory=dict)
+    # first and last day of the date dimension; none is built without them
+    calendar_range: tuple[DateLike, DateLike] | None = None
+    # JSON file of datasets (see Catalog.from_file), read by ``catalog``; the built-in layout without it
+    registry: Catalog | None = None
 
     @property
     def log(self) -> str:
         return f"{self.root}/_load_log"
 
     def catalog(self) -> Catalog:
+        if self.registry is not None:
+            return self.registry
         cat = Catalog()
         cat.add(Dataset("yellow_trip", f"{self.root}/bronze/yellow_trip", "parquet", "bronze",
                         partition_columns=("year", "month")))
         for name in model.DIMENSION_KEYS:
             cat.add(Dataset(name, f"{self.root}/silver/{name}", "parquet", "silver"))
+        cat.add(Dataset("dim_date", f"{self.root}/silver/dim_date", "parquet", "silver"))
         cat.add(Dataset("fact_yellow_trip", f"{self.root}/silver/fact_yellow_trip", "parquet", "silver",
                         depends_on=("yellow_trip", *model.DIMENSION_KEYS), partition_columns=("partition_day",)))
         cat.add(Dataset("tbl_yellow_trips_dashboard", f"{self.root}/gold/tbl_yellow_trips_dashboard", "parquet",
@@ -58,19 +66,27 @@ def bronze_job(spark: SparkSession, lake: Lake, start: tuple[int, int], end: tup
 
 
 def dimension_job(spark: SparkSession, lake: Lake, incremental: bool = True) -> dict[str, DataFrame]:
-    """All seeded dimensions; existing ones are extended, never renumbered."""
+    """All seeded dimensions and the calendar; existing ones are extended, never renumbered; every write is logged."""
     cat = lake.catalog()
     specs = []
+    if lake.calendar_range is not None:
+        lo, hi = lake.calendar_range
+        specs.append(DimensionSpec("dim_date", "date_key", None, seed=lambda s: calendar(s, lo, hi), path=cat["dim_date"].path,
+                                   order=len(lake.seeds), enabled=cat["dim_date"].enabled, source="calendar"))
     for order, (name, (path, schema)) in enumerate(lake.seeds.items()):
         key, sk = model.DIMENSION_KEYS[name]
         specs.append(DimensionSpec(name, key, sk, seed=lambda s, p=path, sc=schema: read_seed(s, p, sc),
-                                   path=cat[name].path, order=order))
-    return build_all(spark, specs, incremental=incremental)
+                                   path=cat[name].path, order=order, enabled=cat[name].enabled, source=path))
+    return build_all(spark, specs, incremental=incremental, log_path=lake.log)
 
 
 def silver_job(spark: SparkSession, lake: Lake, refresh: str = "full", as_of: DateLike = None,
                months: int = 2, **kw) -> None:
-    """The trip fact: one overwrite job (``full``) or an upsert of recent months (``incremental``)."""
+    """The trip fact: one overwrite job (``full``) or an upsert of recent months (``incremental``).
+
+    ``dedup_scope="source"`` drops exact copies only within the month they were
+    landed in (bronze ``year`` and ``month``); the default drops them over all.
+    """
     cat = lake.catalog()
     deps = cat.load_dependencies(spark, "fact_yellow_trip")
     bronze = deps.pop("yellow_trip")

@@ -28,7 +28,9 @@ from strata.plans.fact import build_fact, build_mart, refresh_full, refresh_incr
 from strata.plans.ingest import ingest
 from strata.session import scratch_path
 from strata.sinks.writer import replace_partitions, write
+from strata.sinks.writer import upsert as upsert_table
 from strata.sources.catalog import Catalog, Dataset
+from strata.sources.landing import read_leaf
 from strata.sources.months import month_range_of, with_source_names
 from strata.sources.partitions import partitions
 from strata.sources.seeds import read_seed, write_seed
@@ -157,7 +159,7 @@ def date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The four trip dimensions written and read back, in one shape."""
+    """The four trip dimensions and the calendar of the order dates written and read back, in one shape."""
     root = _scratch(spark, "dims")
     seeds = adapter.seed_frames(spark, sf_dir)
     specs = [
@@ -165,10 +167,20 @@ def dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
                       order=i)
         for i, name in enumerate(model.DIMENSION_KEYS)
     ]
-    built = build_all(spark, specs)
+    specs.append(DimensionSpec("dim_date", "date_key", None, seed=lambda s: date_dim(s, sf_dir), path=f"{root}/dim_date", order=len(specs)))
+    log = f"{root}-log"
+    build_all(spark, specs, log_path=log)
+    built = build_all(spark, specs, log_path=log)  # again: nothing is added or renumbered
+    done = runlog.successful(runlog.read_log(spark, log, "silver")).count()
+    if done != 2 * len(specs):
+        raise AssertionError(f"{done} dimension writes logged, not {2 * len(specs)}")
     label = {"dim_location": "zone"}
     frames = []
     for name, df in built.items():
+        if name == "dim_date":
+            frames.append(df.select(F.lit(name).alias("dimension"), F.lit(None).cast("int").alias("sk"), F.col("date_key").cast("int").alias("natural_key"),
+                                    F.date_format("date", "yyyy-MM-dd").alias("label")))
+            continue
         nk, sk = model.DIMENSION_KEYS[name]
         frames.append(df.select(F.lit(name).alias("dimension"), F.col(sk).alias("sk"),
                                 F.col(nk).alias("natural_key"), F.col(label.get(name, "description")).alias("label")))
@@ -312,7 +324,7 @@ def load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ev.withColumn("layer", runlog.layer_of(named)).drop("layer_name")
     path = _scratch(spark, "log")
     runlog.append_log(rows.select(*runlog.LOG_SCHEMA.fieldNames()), path)
-    return runlog.read_log(spark, path).drop("processed_at")
+    return runlog.read_log(spark, path).withColumn("processed_at", F.col("processed_at").cast("timestamp_ntz"))
 
 
 def latest_destinations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -331,10 +343,8 @@ ORDERS_SCHEMA = {
 }
 
 
-def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C1 (S1, S2, S9-S11, P1, K3, K8): orders landed by month, 1999 months with
-    another physical layout (int key, other name case, a column missing);
-    ingested once, ingested again (nothing pending), read back from the root."""
+def _landed_orders(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    """Landing, bronze and log folders after two ingests of the orders landed by month."""
     o = _t(spark, sf_dir, "orders").withColumn("year_month", F.date_format("o_orderdate", "yyyy-MM"))
     landing, target, log = _scratch(spark, "landing"), _scratch(spark, "bronze"), _scratch(spark, "ingest-log")
     is99 = F.col("year_month").startswith("1999")
@@ -348,7 +358,62 @@ def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = ingest(spark, months, landing, target, ORDERS_SCHEMA, log, "orders")
     if again:
         raise AssertionError(f"second ingest reloaded {len(again)} months")
-    return spark.read.parquet(target)
+    return landing, target, log
+
+
+def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 (S1, S2, S9-S11, P1, K3, K8): orders landed by month, 1999 months with
+    another physical layout (int key, other name case, a column missing);
+    ingested once, ingested again (nothing pending), read back from the root."""
+    return spark.read.parquet(_landed_orders(spark, sf_dir)[1])
+
+
+def ingest_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8, C14, C15 on the log that an ingest writes: each month's own folders; ids and times left out."""
+    landing, target, log = _landed_orders(spark, sf_dir)
+    rows = runlog.read_log(spark, log)
+    latest = runlog.latest_destinations(rows, 3, "orders_").withColumn("latest", F.lit(True))
+    named = rows.join(latest, "destination", "left").withColumn("latest", F.coalesce("latest", F.lit(False)))
+    plain = lambda c, folder, name: F.replace(F.col(c), F.lit(folder), F.lit(name)).alias(c)
+    return named.select("file_name", plain("source", landing, "landing"), plain("destination", target, "bronze"), "status", "load_type", "error", "layer", "latest")
+
+
+def leaf_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One landed folder read by itself has its own columns only, without those of the folders above."""
+    o = _t(spark, sf_dir, "orders").withColumn("status", F.col("o_orderstatus"))
+    landing = _scratch(spark, "landing-by-status")
+    write(o, landing, "overwrite", ["status"])
+    return read_leaf(spark, f"{landing}/status=F")
+
+
+def full_refresh_shrinks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table written for all days, then refreshed without the last ones, holds none of them."""
+    path = _scratch(spark, "fact-shrinks")
+    dims, raw = adapter.dimensions(spark, sf_dir), adapter.dirty_trips(spark, sf_dir)
+    refresh_full(raw, dims, path, first_valid=adapter.FIRST_VALID)
+    refresh_full(raw.where(F.col(model.PICKUP) < F.lit("2000-01-01").cast("timestamp_ntz")), dims, path, first_valid=adapter.FIRST_VALID)
+    return spark.read.parquet(path).select(*model.FACT_COLUMNS)
+
+
+def upsert_moves_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: rows whose partition changes in an upsert on a key without the partition column move, none is left behind."""
+    path = _scratch(spark, "orders-by-status")
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    write(o, path, "overwrite", ["o_orderstatus"])
+    moved = o.where("o_orderkey % 7 = 0").withColumn("o_orderstatus", F.lit("X")).withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    upsert_table(spark, moved, path, ["o_orderkey"], ["o_orderstatus"])
+    return spark.read.parquet(path)
+
+
+def dedup_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H2 per source month: every trip landed twice in its month, over several part files, and once in the month after."""
+    path = _scratch(spark, "trips-by-month")
+    t = adapter.trips(spark, sf_dir).where(F.col(model.PICKUP) >= F.lit("2000-01-01").cast("timestamp_ntz"))
+    landed = t.withColumn("shift", F.explode(F.array(F.lit(0), F.lit(0), F.lit(1))))
+    month = F.add_months(F.trunc(model.PICKUP, "month"), F.col("shift"))
+    landed = landed.withColumn("year", F.year(month)).withColumn("month", F.month(month)).drop("shift")
+    write(landed.repartition(4), path, "overwrite", list(model.BRONZE_PARTITION), cluster=False)
+    return build_fact(spark.read.parquet(path), adapter.dimensions(spark, sf_dir), first_valid=adapter.FIRST_VALID, dedup_scope="source")
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -390,7 +455,7 @@ def lake_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, frame in adapter.seed_frames(spark, sf_dir).items():
         write_seed(frame, f"{seed_root}/{name}")
         seeds[name] = (f"{seed_root}/{name}", schemas[name])
-    lake = Lake(root, landing, seeds=seeds)
+    lake = Lake(root, landing, seeds=seeds, calendar_range=("1996-01-01", "2002-12-31"))
     span = trips.agg(F.min(model.PICKUP).alias("lo"), F.max(model.PICKUP).alias("hi")).first()
     hi = span["hi"]
     bronze_job(spark, lake, (span["lo"].year, span["lo"].month), (hi.year + hi.month // 12, hi.month % 12 + 1))
@@ -439,6 +504,11 @@ QUERIES = {
     "successful_destinations": successful_destinations,
     "bronze_ingest": bronze_ingest,
     "stream_ingest": stream_ingest,
+    "ingest_log": ingest_log,
+    "leaf_scan": leaf_scan,
+    "full_refresh_shrinks": full_refresh_shrinks,
+    "upsert_moves_partition": upsert_moves_partition,
+    "dedup_by_month": dedup_by_month,
     "lake_end_to_end": lake_end_to_end,
     "row_count_check": row_count,
 }

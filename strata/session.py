@@ -3,8 +3,11 @@
 The settings are the ones the operators rely on for repeatable results:
 UTC session zone (date functions), ANSI mode (strict casts), adaptive
 query execution (runtime partition coalescing, skew-join splitting and
-broadcast promotion). Nothing here hard-codes cluster sizing; on a cluster
-those values come from the submit configuration.
+broadcast promotion). Nothing here hard-codes cluster sizing; those values come from the launch
+configuration. One worth setting on a single machine when tables have
+thousands of partition folders is
+``spark.sql.sources.parallelPartitionDiscovery.parallelism`` (the number of
+tasks that list folders, 10000 by default): a few per core.
 """
 
 from __future__ import annotations
@@ -21,7 +24,6 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
@@ -47,39 +49,25 @@ def get_spark(
     spark = builder.getOrCreate()
     for k, v in REQUIRED_CONF.items():
         spark.conf.set(k, v)
-    size_for_local(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
 
-LISTING_PARALLELISM = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
-
-
-def size_for_local(spark: SparkSession) -> None:
-    """In local mode, size the folder-listing job to the cores there are.
-
-    Reading a table with thousands of partition folders lists them with a
-    Spark job of up to ``parallelism`` tasks (default 10000, meant for large
-    clusters); on one machine that is one tiny task per folder. Settings
-    given at launch are kept, and nothing changes on a cluster.
-    """
-    sc = spark.sparkContext
-    if not sc.master.startswith("local") or sc.getConf().contains(LISTING_PARALLELISM):
-        return
-    spark.conf.set(LISTING_PARALLELISM, str(4 * sc.defaultParallelism))
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only if the session has none.
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor can
-    reach; that setting is always honoured. Only a session without it (a
-    local test run) gets a fresh scratch folder.
+    reach; that setting is always honoured. Only a local session without it
+    gets a fresh scratch folder; any other master without it is an error,
+    since each executor would write to its own disk.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        master = spark.sparkContext.master
+        if master.split("[")[0] != "local":
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master!r} share")
         current = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not spark.sparkContext.getCheckpointDir():

@@ -3,6 +3,14 @@
 Writes go through Spark's file committer: a failed or retried task leaves
 no partial output behind. Partitioned writes are first clustered by the
 partition columns so each task writes few folders (no small-file storm).
+Whether an overwrite replaces the table or only the partitions it holds is an
+option of each write, never a setting of the session.
+
+Job commit itself is not atomic on a plain file system: it removes the old
+files and moves the new ones in. Where the new files are the only copy of old
+rows (an upsert), they are staged first and a journal beside the table names
+them until the swap is done, so a swap that was cut off can be finished by
+:func:`recover` (every later upsert of the table does so first).
 """
 
 from __future__ import annotations
@@ -16,6 +24,7 @@ from pyspark.sql import functions as F
 from strata.operators import runlog
 from strata.operators.upsert import merge
 from strata.session import scratch_path
+from strata.sources.paths import children, delete, path_exists, table_exists
 
 
 def _cols(partition_cols: str | Sequence[str] | None) -> list[str]:
@@ -34,27 +43,33 @@ def write(
 ) -> None:
     """Write ``df`` in ``fmt`` with ``mode``; partitioned when columns are given.
 
-    With ``cluster`` a partitioned write is first rebalanced by the
+    ``overwrite`` replaces the whole table, whatever the session's partition
+    overwrite mode: partitions that ``df`` lacks are gone afterwards. With ``cluster`` a partitioned write is first rebalanced by the
     partition columns: AQE merges small partitions and splits a hot one
     (a day holding a third of the rows is written by several tasks), so a
     day lands in a few files instead of one file per task per day.
     """
     parts = _cols(partition_cols)
+    _save(df, path, mode, parts, fmt, "static", cluster)
+
+
+def _save(df: DataFrame, path: str, mode: str, parts: list[str], fmt: str, overwrite: str, cluster: bool = True) -> None:
     w = (df.hint("rebalance", *parts) if parts and cluster else df).write.format(fmt).mode(mode)
     if parts:
-        w = w.partitionBy(*parts)
+        w = w.partitionBy(*parts).option("partitionOverwriteMode", overwrite)
     w.save(path)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_cols: str | Sequence[str], fmt: str = "parquet") -> None:
     """Overwrite only the partitions present in ``df`` (re-running a month is idempotent)."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        write(df, path, "overwrite", partition_cols, fmt)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    _save(df, path, "overwrite", _cols(partition_cols), fmt, "dynamic")
+
+
+def stage_path(df: DataFrame, name: str = "stage", fmt: str = "parquet") -> str:
+    """Write ``df`` under the shared checkpoint folder; where."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.format(fmt).mode("overwrite").save(path)
+    return path
 
 
 def stage(df: DataFrame, name: str = "stage", fmt: str = "parquet") -> DataFrame:
@@ -64,10 +79,40 @@ def stage(df: DataFrame, name: str = "stage", fmt: str = "parquet") -> DataFrame
     the whole upstream plan. The folder is the cluster's
     ``spark.checkpoint.dir``, visible to all executors.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.format(fmt).mode("overwrite").save(path)
-    return spark.read.format(fmt).load(path)
+    return df.sparkSession.read.format(fmt).load(stage_path(df, name, fmt))
+
+
+def _journal(path: str) -> str:
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return f"{folder}/_swap_{name}"
+
+
+def _swap(spark: SparkSession, staged: str, path: str, parts: list[str], fmt: str, overwrite: str) -> None:
+    """Put the staged rows in place; the journal stands from before the first old file goes until the last new one is in."""
+    entry = (staged, ",".join(parts), fmt, overwrite)
+    spark.createDataFrame([entry], "staged string, parts string, fmt string, overwrite string").coalesce(1) \
+        .write.mode("overwrite").json(_journal(path))
+    _save(spark.read.format(fmt).load(staged), path, "overwrite", parts, fmt, overwrite)
+    delete(spark, _journal(path))
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Finish a swap of the table at ``path`` that was cut off; whether there was one.
+
+    The staged rows hold all of the replaced partitions (or table), so putting
+    them in place again is right however far the swap had come. A journal that
+    was not completely written means that no swap had begun.
+    """
+    journal = _journal(path)
+    if not path_exists(spark, journal):
+        return False
+    begun = path_exists(spark, f"{journal}/_SUCCESS")
+    if begun:
+        e = spark.read.schema("staged string, parts string, fmt string, overwrite string").json(journal).first()
+        _swap(spark, e["staged"], path, [c for c in e["parts"].split(",") if c], e["fmt"], e["overwrite"])
+    else:
+        delete(spark, journal)
+    return begun
 
 
 def upsert(
@@ -80,79 +125,52 @@ def upsert(
 ) -> None:
     """Merge ``source`` into the table at ``path`` on ``keys`` (update all / insert all).
 
-    When the partition columns are among the keys only the partitions that
-    ``source`` touches can change: those are read (partition pruning),
-    merged, and swapped in by dynamic partition overwrite (Spark writes them
-    to a job staging folder and replaces the partitions only at job commit).
-    Otherwise the whole table is merged, staged under the checkpoint folder
-    (a static overwrite cannot read its own target), and rewritten.
+    ``source`` is evaluated once (staged). When the partition columns are
+    among the keys only the partitions that it touches can change: those are
+    read, merged, staged and swapped in. Otherwise a row may move between
+    partitions, so the whole table is merged, staged and rewritten. A table
+    that cannot be read raises; only one that does not exist is created.
     """
     parts = _cols(partition_cols)
-    if parts and set(parts) <= set(keys):
-        # Touched partition values are few (days, months): collect them to read
-        # only those folders; the rest of the table is neither listed nor read.
-        values = [tuple(r) for r in source.select(*parts).distinct().collect()]
-        touched = _read_partitions(spark, path, parts, values, fmt)
-        if touched is None:
-            table = _read_table(spark, path, fmt)
-            if table is None:
-                write(source, path, "overwrite", parts, fmt)
-                return
-            touched = _filter_partitions(table, parts, values)
-        replace_partitions(merge(touched, source, keys), path, parts, fmt)
-        return
-    table = _read_table(spark, path, fmt)
-    if table is None:
+    recover(spark, path)
+    source = stage(source, "upsert-source", fmt)
+    if not table_exists(spark, path):
         write(source, path, "overwrite", parts, fmt)
-        return
-    merged = stage(merge(table, source, keys), "upsert", fmt)
-    write(merged, path, "overwrite", parts, fmt)
+    elif parts and set(parts) <= set(keys):
+        merged = merge(_touched(spark, path, parts, source, fmt), source, keys)
+        _swap(spark, stage_path(merged, "upsert", fmt), path, parts, fmt, "dynamic")
+    else:
+        merged = merge(spark.read.format(fmt).load(path), source, keys)
+        _swap(spark, stage_path(merged, "upsert", fmt), path, parts, fmt, "static")
 
 
 _GLOB_SPECIAL = set("{}[]*?\\,/=%:#\"' ")
 
 
-def _read_table(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
-    try:
-        df = spark.read.format(fmt).load(path)
-        df.schema  # noqa: B018
-        return df
-    except Exception:  # noqa: BLE001 - no table yet
-        return None
-
+def _touched(spark: SparkSession, path: str, parts: list[str], source: DataFrame, fmt: str) -> DataFrame:
+    """Rows of the target's partitions that ``source`` touches.
 
-def _read_partitions(spark: SparkSession, path: str, parts: list[str], values: list[tuple],
-                     fmt: str) -> DataFrame | None:
-    """Rows of the given partitions, listing only their folders.
-
-    One partition column with plain values: a single glob over those folders
-    (``col={v1,v2,...}``). Returns None when that does not apply or none of
-    the folders exists yet; the caller then filters the full table.
+    One partition column with plain values: only the folders named by the
+    source are listed (a glob of those that exist). Otherwise a semi join on
+    the partition columns, which prunes at run time.
     """
-    texts = [None if v[0] is None else str(v[0]) for v in values]
-    if not values or len(parts) != 1 or any(t is None or set(t) & _GLOB_SPECIAL for t in texts):
-        return None
-    glob = f"{path.rstrip('/')}/{parts[0]}={{{','.join(sorted(texts))}}}"
-    try:
-        df = spark.read.format(fmt).option("basePath", path).load(glob)
-        df.schema  # noqa: B018 - fails when no touched folder exists yet
-        return df
-    except Exception:  # noqa: BLE001
-        return None
-
-
-def _filter_partitions(table: DataFrame, parts: list[str], values: list[tuple]) -> DataFrame:
-    """Partition filter on the full table (pruned at planning, but listed)."""
-    if not values:
-        return table.limit(0)
-    cond = None
-    for v in values:
-        c = None
-        for col, val in zip(parts, v):
-            e = F.col(col).isNull() if val is None else (F.col(col) == F.lit(val))
-            c = e if c is None else c & e
-        cond = c if cond is None else cond | c
-    return table.where(cond)
+    table = spark.read.format(fmt).load(path)
+    values = source.select(*parts).distinct()
+    if len(parts) == 1:
+        # at most one row for each partition folder of the source
+        texts = [r[0] for r in values.select(F.col(parts[0]).cast("string")).collect()]
+        if texts and not any(t is None or set(t) & _GLOB_SPECIAL for t in texts):
+            there = {n.partition("=")[2] for n in children(spark, path)}
+            known = sorted(there & set(texts))
+            if not known:
+                return table.limit(0)
+            return (spark.read.format(fmt).schema(table.schema).option("basePath", path)
+                    .load(f"{path.rstrip('/')}/{parts[0]}={{{','.join(known)}}}"))
+    same = None
+    for c in parts:
+        e = table[c].eqNullSafe(values[c])
+        same = e if same is None else same & e
+    return table.join(values, same, "left_semi")
 
 
 def logged(

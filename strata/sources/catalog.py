@@ -1,12 +1,15 @@
-"""Dataset registry (S4, S6): name -> path, format, layer, upstream datasets."""
+"""Dataset registry (S4, S6): name -> path, format, layer, mode, upstream datasets; in code or from a JSON file."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.sources.landing import read_root
+
 
 @dataclass(frozen=True)
 class Dataset:
@@ -16,6 +19,8 @@ class Dataset:
     layer: str = "silver"
     depends_on: tuple[str, ...] = field(default_factory=tuple)
     partition_columns: tuple[str, ...] = field(default_factory=tuple)
+    mode: str = "overwrite"
+    enabled: bool = True
 
 
 class Catalog:
@@ -32,9 +37,22 @@ class Catalog:
             out[name] = Dataset(
                 name=name, path=d["path"], format=d.get("format", "parquet"), layer=d.get("layer", "silver"),
                 depends_on=tuple(d.get("depends_on", ())), partition_columns=tuple(d.get("partition_columns", ())),
+                mode=d.get("mode", "overwrite"), enabled=bool(d.get("enabled", True)),
             )
         return cls(out)
 
+    @classmethod
+    def from_file(cls, spark: SparkSession, path: str, root: str = "") -> Catalog:
+        """From a JSON file of that mapping, wherever Spark can read it; ``{root}`` in a path stands for ``root``."""
+        spec = json.loads(spark.read.text(path, wholetext=True).first()[0])
+        for d in spec.values():
+            d["path"] = d["path"].replace("{root}", root)
+        return cls.from_mapping(spec)
+
+    def enabled(self, layer: str | None = None) -> list[Dataset]:
+        """Enabled datasets, optionally of one layer, in the order they are listed."""
+        return [d for d in self.datasets.values() if d.enabled and layer in (None, d.layer)]
+
     def add(self, ds: Dataset) -> Catalog:
         self.datasets[ds.name] = ds
         return self
@@ -44,7 +62,7 @@ class Catalog:
 
     def load(self, spark: SparkSession, name: str) -> DataFrame:
         ds = self.datasets[name]
-        return spark.read.format(ds.format).load(ds.path)
+        return read_root(spark, ds.path, ds.format)
 
     def load_dependencies(self, spark: SparkSession, name: str) -> dict[str, DataFrame]:
         """Every upstream dataset of ``name``, loaded lazily, by name."""

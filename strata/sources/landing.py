@@ -12,6 +12,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DataType, StructType
 
@@ -28,6 +30,14 @@ def read_root(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame
     return spark.read.format(fmt).load(root)
 
 
+_READ_ERRORS = (PySparkException, Py4JJavaError)
+
+
+def _disagree(e: Exception) -> bool:
+    """Whether files failed to merge into one schema; any other error is not ours to handle."""
+    return "CANNOT_MERGE" in str(e)
+
+
 def _schema_key(schema: StructType) -> tuple:
     return tuple((f.name.lower(), f.dataType.simpleString()) for f in schema.fields)
 
@@ -39,7 +49,9 @@ def _schema_of(spark: SparkSession, path: str, fmt: str) -> StructType | None:
         r = r.option("mergeSchema", "true")
     try:
         return r.load(path).schema
-    except Exception:  # noqa: BLE001 - incompatible files inside this folder
+    except _READ_ERRORS as e:
+        if not _disagree(e):
+            raise
         return None
 
 
@@ -87,8 +99,9 @@ def read_conformed(
     try:
         # Footers are read by a distributed job; incompatible types fail here.
         return conform(reader(True).load(paths), schema, strict=strict)
-    except Exception:  # noqa: BLE001 - mixed physical schemas: fall back to groups
-        pass
+    except _READ_ERRORS as e:  # mixed physical schemas: fall back to groups
+        if not _disagree(e):
+            raise
     frames = [conform(reader(True).load(group), schema, strict=strict)
               for group in group_by_schema(spark, paths, fmt)]
     out = frames[0]

@@ -56,13 +56,15 @@ def ingest_stream(
         df = conform(batch, schema)
         if derive is not None:
             df = derive(df)
-        files = [r[0] for r in batch.select("_source_file").distinct().collect()]  # files of this batch
         df = df.drop("_source_file").withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
         replace_partitions(df, target, [*parts, BATCH_COL])
-        if log_path and files:
-            runlog.append_log(runlog.log_rows(spark, [
-                dict(file_name=f, source=landing, destination=target, status=runlog.SUCCESS,
-                     load_type="stream", layer="bronze") for f in files]), log_path)
+        if log_path:
+            # the id is a function of target, batch and file: rows that a retried batch appends again count once
+            rows = batch.select(F.col("_source_file").alias("file_name")).distinct().select(
+                F.xxhash64(F.lit(target), F.lit(batch_id), "file_name").alias("id"), "file_name", F.lit(landing).alias("source"),
+                F.lit(target).alias("destination"), F.lit(runlog.SUCCESS).alias("status"), F.lit("stream").alias("load_type"),
+                F.current_timestamp().alias("processed_at"), F.lit(runlog.NO_ERROR).alias("error"), F.lit("bronze").alias("layer"))
+            runlog.append_log(rows, log_path)
 
     q = (stream.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint)

@@ -29,7 +29,7 @@ def test_oversized_lookup_side_is_not_broadcast(spark):
     facts = spark.range(0, 1000).select((F.col("id") % 300).alias("fk"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        p = plan(lookup_keys(facts, [Lookup(big, "k", "sk", "fk")], max_rows=100))
+        p = plan(lookup_keys(facts, [Lookup(big, "k", "sk", "fk")], max_bytes=100))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" not in p

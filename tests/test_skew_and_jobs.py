@@ -101,7 +101,7 @@ def test_fact_dedup_per_source_file(spark, tmp_dir):
                                               "location_sk int, location_id int, borough string, zone string, "
                                               "service_zone string"),
     }
-    per_file = fact.build_fact(bronze, dims, as_of="2024-01-01", dedup_scope="source")
+    per_file = fact.build_fact(bronze, dims, as_of="2024-01-01", dedup_scope="source", scope_columns=["_source_file"])
     whole = fact.build_fact(bronze, dims, as_of="2024-01-01")
     assert per_file.count() == 2 and whole.count() == 1
     assert per_file.columns == model.FACT_COLUMNS
