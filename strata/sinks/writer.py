@@ -154,7 +154,6 @@ def _touched(spark: SparkSession, path: str, parts: list[str], source: DataFrame
     source are listed (a glob of those that exist). Otherwise a semi join on
     the partition columns, which prunes at run time.
     """
-    table = spark.read.format(fmt).load(path)
     values = source.select(*parts).distinct()
     if len(parts) == 1:
         # at most one row for each partition folder of the source
@@ -163,10 +162,10 @@ def _touched(spark: SparkSession, path: str, parts: list[str], source: DataFrame
             there = {n.partition("=")[2] for n in children(spark, path)}
             known = sorted(there & set(texts))
             if not known:
-                return table.limit(0)
-            return (spark.read.format(fmt).schema(table.schema).option("basePath", path)
+                return spark.read.format(fmt).load(path).limit(0)
+            return (spark.read.format(fmt).option("basePath", path)
                     .load(f"{path.rstrip('/')}/{parts[0]}={{{','.join(known)}}}"))
-    same = None
+    table, same = spark.read.format(fmt).load(path), None
     for c in parts:
         e = table[c].eqNullSafe(values[c])
         same = e if same is None else same & e

@@ -20,12 +20,21 @@ def children(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
-    return [n for n in (s.getPath().getName() for s in fs.listStatus(p)) if n[0] not in "._"]
+    names = (x.getName() for x in spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.listStatus(p)))
+    return [n for n in names if n[0] not in "._"]
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether anything has been written at ``path``. Errors of the file system are raised, never read as "no"."""
-    return bool(children(spark, path)) or path_exists(spark, f"{path.rstrip('/')}/_delta_log")
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return False
+    entries = fs.listStatusIterator(p)  # stops at the first visible one
+    while entries.hasNext():
+        name = entries.next().getPath().getName()
+        if name == "_delta_log" or name[0] not in "._":
+            return True
+    return False
 
 
 def delete(spark: SparkSession, path: str) -> None:
