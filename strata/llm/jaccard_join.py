@@ -17,10 +17,13 @@ signatures. A document whose partners may lie in the next band joins there too.
 
 Documents that share a signature meet at the smallest of them (their centre).
 Inside the family of a centre, sizes and Hamming distances of 1024-bit sketches
-leave the pairs worth verifying: blocks of a family meet pairwise, and first
-only the nearest few of each document are passed on. They are verified on the
-texts, links are joined into components, and the next pass looks only at pairs
-across components; the last pass takes all of them, so no link is lost.
+leave the pairs worth verifying. Families are cut into blocks by hash. Two
+passes, each with a cut of its own, look inside the blocks only and pass on the
+nearest few of each document; these are verified on the texts and the links
+joined into components. The last pass takes the families that still hold
+several components and lets all their blocks meet, for all pairs across
+components, so no link is lost. A family of true near copies, however large,
+is connected before that; the last pass compares sketches of what is not.
 Equal sets are one class from the start and never form pairs.
 
 Defined cases: a document without words (or text) has no shingles and is alone;
@@ -46,7 +49,7 @@ from strata.sinks.writer import stage
 SHINGLE = 5
 SKETCH_BITS = 1024
 FAMILY_BLOCK = 1024
-NEAREST = (3, 24, None)  # pairs a document passes on in each pass; the last passes on all
+NEAREST = (3, 6, None)  # pairs a document passes on in each pass; the last passes on all
 BYTES_PER_GROUP = 24 << 20
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 _FEATURE, _SIGNATURES = 0, 1
@@ -235,16 +238,24 @@ def _pairs_of_families(k: int | None):
     return run
 
 
-def family_pairs(families: DataFrame, comps: DataFrame | None, k: int | None) -> DataFrame:
-    """Distinct pairs (a, b) inside families that may be similar and are not yet connected."""
+def family_pairs(families: DataFrame, comps: DataFrame | None, k: int | None, salt: int) -> DataFrame:
+    """Distinct pairs (a, b) inside families that may be similar and are not yet connected.
+
+    With ``k`` the nearest ``k`` of each document within its block, else all pairs of all blocks.
+    """
     f = families
     if comps is None:
         f = f.withColumn("comp", F.col("node"))
     else:
         f = f.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        split = f.groupBy("centre").agg((F.min("comp") != F.max("comp")).alias("split")).where("split").select("centre")
+        # written first, so that the join below can split a family that fills a partition
+        split = stage(f.groupBy("centre").agg((F.min("comp") != F.max("comp")).alias("split")).where("split").select("centre"), "jaccard-split")
         f = f.join(split, "centre", "left_semi")
-    meet = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("own", j).alias("bi"), F.greatest("own", j).alias("bj")))
+    f = f.withColumn("own", F.pmod(F.xxhash64("node", F.lit(salt)), F.col("blocks")).cast("int"))
+    if k is None:
+        meet = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("own", j).alias("bi"), F.greatest("own", j).alias("bj")))
+    else:
+        meet = F.array(F.struct(F.col("own").alias("bi"), F.col("own").alias("bj")))
     dealt = f.withColumn("m", F.explode(meet)).select("centre", F.col("m.bi").alias("bi"), F.col("m.bj").alias("bj"), "own", "node", "n", "comp", "data")
     return (dealt.repartition("centre", "bi", "bj").sortWithinPartitions("centre", "bi", "bj")
             .mapInArrow(_pairs_of_families(k), "a long, b long").distinct())
@@ -302,20 +313,20 @@ def join(docs: DataFrame) -> DataFrame:
                     .agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("data").alias("data")), "jaccard-classes")
     met = stage(rows.where(F.col("kind") == _SIGNATURES).select("q", "data").groupBy("q").applyInArrow(_meet, "centre long, node long").distinct(), "jaccard-met")
     members = met.union(met.select("centre", F.col("centre").alias("node")).distinct())
-    blocks = met.groupBy("centre").agg(F.ceil((F.count(F.lit(1)) + 1) / FAMILY_BLOCK).cast("int").alias("blocks"))
-    families = stage(members.join(blocks, "centre").join(classes.select("node", "n", "data"), "node")
-                     .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "jaccard-families")
+    blocks = stage(met.groupBy("centre").agg(F.ceil((F.count(F.lit(1)) + 1) / FAMILY_BLOCK).cast("int").alias("blocks")), "jaccard-blocks")
+    families = stage(members.join(blocks, "centre").join(classes.select("node", "n", "data"), "node"), "jaccard-families")
 
     tried, texts, comps = None, None, None
-    for k in NEAREST:
-        pairs = family_pairs(families, comps, k)
+    for salt, k in enumerate(NEAREST):
+        pairs = family_pairs(families, comps, k, salt)
         pairs = stage(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
         if pairs.isEmpty():
-            if k is None or texts is None:
-                break
             continue
-        if texts is None:
-            texts = stage(_texts(docs, classes, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "jaccard-texts")
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        nodes = stage(nodes if texts is None else nodes.join(texts, "node", "left_anti"), "jaccard-nodes")
+        if not nodes.isEmpty():
+            more = stage(_texts(docs, classes, nodes), "jaccard-texts")
+            texts = more if texts is None else texts.union(more)
         checked = stage(verify(pairs, texts), "jaccard-checked")
         links = checked.where("linked").select("a", "b")
         known = links if comps is None else links.union(comps.where("node <> comp").select(F.col("node").alias("a"), F.col("comp").alias("b")))
