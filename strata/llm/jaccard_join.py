@@ -48,7 +48,7 @@ from strata.sinks.writer import stage
 
 SHINGLE = 5
 SKETCH_BITS = 1024
-FAMILY_BLOCK = 1024
+FAMILY_BLOCK = 512
 NEAREST = (3, 6, None)  # pairs a document passes on in each pass; the last passes on all
 BYTES_PER_GROUP = 24 << 20
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
