@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-_MOST = 2_000_000
+_MOST = 400_000  # some 80 MB a worker
 
 
 class WordHashes(dict):
