@@ -51,6 +51,7 @@ SKETCH_BITS = 1024
 FAMILY_BLOCK = 512
 NEAREST = (3, 6, None)  # pairs a document passes on in each pass; the last passes on all
 BYTES_PER_GROUP = 24 << 20
+DOCS_PER_PACK = 4_000  # at most 65,536, since places in a packed row take 16 bits
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 _FEATURE, _SIGNATURES = 0, 1
 _ROWS = "kind int, q int, doc_id long, n int, node long, data binary"
@@ -132,9 +133,9 @@ def sketches(docs: DataFrame, groups: int) -> DataFrame:
         hashes = WordHashes()
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            for at in range(0, len(ids), 60_000):  # places in a packed row are 16-bit
+            for at in range(0, len(ids), DOCS_PER_PACK):
                 n, node, data, seen, sigs = [], [], [], {}, []
-                for i in range(at, min(at + 60_000, len(ids))):
+                for i in range(at, min(at + DOCS_PER_PACK, len(ids))):
                     s = shingles(texts[i].as_buffer().to_pybytes(), hashes)
                     n.append(len(s))
                     node.append(set_hash(s) if len(s) else 0)
@@ -156,6 +157,7 @@ def sketches(docs: DataFrame, groups: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([_SIGNATURES] * len(pieces), pa.int32()), pa.array([int(q[p[0]]) for p in pieces], pa.int32()),
                                                   pa.nulls(len(pieces), pa.int64()), pa.nulls(len(pieces), pa.int32()), pa.nulls(len(pieces), pa.int64()),
                                                   pa.array([_pack(sig[p], who[p], nodes) for p in pieces], pa.binary())], schema=_SCHEMA)
+            pa.default_memory_pool().release_unused()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8(F.col("text")).alias("text")).mapInArrow(run, _ROWS)
 
