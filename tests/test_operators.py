@@ -120,14 +120,14 @@ def test_dense_key_buckets_equal_global_row_number(spark, dtype):
         base = base.select(F.format_string("k%06d", "k").alias("k"))
     elif dtype == "date":
         base = base.select(F.date_add(F.lit("2000-01-01").cast("date"), F.col("k").cast("int")).alias("k"))
-    got = dense_key(base, "k", "sk", rows_per_bucket=300, max_buckets=32)
+    got = dense_key(base, "k", "sk", buckets=32)
     want = base.withColumn("sk", F.row_number().over(Window.orderBy("k")))
     assert rows(got, "k", "sk") == rows(want, "k", "sk")
 
 
-def test_dense_key_plan_is_partitioned_when_large(spark):
+def test_dense_key_plan_is_partitioned(spark):
     base = spark.range(0, 5000).select(F.col("id").alias("k"))
-    plan = dense_key(base, "k", "sk", rows_per_bucket=300)._jdf.queryExecution().executedPlan().toString()
+    plan = dense_key(base, "k", "sk", buckets=17)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
     assert "hashpartitioning(__sk_bucket" in plan
 
