@@ -16,8 +16,10 @@ a text is a context of its own.
 Words are dealt to shards by the top bits of their hash; one task builds one
 shard (a bounded share of the words, however large the corpus) and writes it as
 one memory-mappable file to the shared folder. Counts go there map-side
-combined; a frequent context's shard holds at most one entry per distinct
-successor. Nothing of the model passes the driver but a line per shard.
+combined. A frequent context is in the partial counts of every task, all bound
+for one shard, so those are united in a tree before: a shard's task meets at
+most ``FAN_IN`` tables that hold each pair once. Nothing of the model passes
+the driver but a line per shard.
 
 Defined cases: null and empty texts are one end token; repeated rows count as
 often as they occur; without training rows every probability is the unknown
@@ -46,6 +48,9 @@ from strata.sinks.writer import stage
 MIN_COUNT = 2
 DISCOUNT = 0.75
 BYTES_PER_SHARD = 32 << 20
+# Partial pair counts are united in a tree: first those of this much text, then FAN_IN of the results at a time.
+BYTES_PER_SLICE = 128 << 20
+FAN_IN = 8
 _CHUNK_WORDS = 1_500_000
 _STEP = 1 / 4096  # quantisation of log10 probabilities, down to -16
 # Names no word can have: they hold white space.
@@ -250,25 +255,54 @@ def _count_pairs(texts: DataFrame, vocabulary: Words) -> DataFrame:
                 rows = []
                 for k in np.unique(q):
                     s = slice(*np.searchsorted(q, (k, k + 1)))
-                    c, m = np.unique(context[s], return_counts=True)
-                    keys = np.array([len(c)], np.uint32).tobytes() + c.astype(np.uint32).tobytes() + m.astype(np.uint32).tobytes() + (pairs[s] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes()
-                    rows.append((int(k), keys, *_small(n[s])))
+                    rows.append((int(k), _pack_pairs(context[s], pairs[s]), *_small(n[s])))
                 yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(zip(*rows, strict=True), [pa.int32()] + [pa.binary()] * 3, strict=True)], names=["q", "keys", "small", "big"])
 
     return texts.mapInArrow(run, "q int, keys binary, small binary, big binary")
 
 
+def _pack_pairs(context: np.ndarray, pairs: np.ndarray) -> bytes:
+    """Sorted pairs: each context once with the number of its successors, then the successors."""
+    c, m = np.unique(context, return_counts=True)
+    return np.array([len(c)], np.uint32).tobytes() + c.astype(np.uint32).tobytes() + m.astype(np.uint32).tobytes() + (pairs & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes()
+
+
 def _pair_keys(data: bytes) -> np.ndarray:
     k = int(np.frombuffer(data, np.uint32, 1)[0])
     v = np.frombuffer(data, np.uint32, -1, 4).astype(np.uint64)
     return np.repeat(v[:k], v[k:2 * k].astype(np.int64)) << np.uint64(32) | v[2 * k:]
 
 
+def _merged_pairs(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    counts = [_unsmall(a, b) for a, b in zip(t.column("small").to_pylist(), t.column("big").to_pylist(), strict=True)]
+    return _sum_by(np.concatenate([_pair_keys(x) for x in t.column("keys").to_pylist()]), np.concatenate(counts))
+
+
+def _united(counted: DataFrame, size: int) -> DataFrame:
+    """Partial pair counts of ``size`` bytes of text, united until at most ``FAN_IN`` rows a shard are left."""
+
+    def unite(t: pa.Table) -> pa.Table:
+        keys, n = _merged_pairs(t)
+        packed = _pack_pairs((keys >> np.uint64(32)).astype(np.int64), keys)
+        small, big = _small(n)
+        one = {"q": pa.array(t.column("q")[:1].to_pylist(), pa.int32()), "part": pa.array(t.column("part")[:1].to_pylist(), pa.int32())}
+        return pa.table(one | {"keys": pa.array([packed], pa.binary()), "small": pa.array([small], pa.binary()), "big": pa.array([big], pa.binary())})
+
+    slices = -(-size // BYTES_PER_SLICE)
+    counted = counted.withColumn("part", F.spark_partition_id())
+    while slices > 1:
+        counted = (counted.withColumn("part", F.col("part") % slices).groupBy("q", "part")
+                   .applyInArrow(unite, "q int, part int, keys binary, small binary, big binary"))
+        if slices <= FAN_IN:
+            break
+        slices = -(-slices // FAN_IN)
+    return counted.drop("part")
+
+
 def _pair_shards(counted: DataFrame, vocabulary: Words, total: int, folder: str, min_count: int, discount: float) -> DataFrame:
     def build(t: pa.Table) -> pa.Table:
         q, known = t.column("q")[0].as_py(), vocabulary
-        counts = [_unsmall(a, b) for a, b in zip(t.column("small").to_pylist(), t.column("big").to_pylist(), strict=True)]
-        keys, n = _sum_by(np.concatenate([_pair_keys(x) for x in t.column("keys").to_pylist()]), np.concatenate(counts))
+        keys, n = _merged_pairs(t)
         base = int(known.first[q]) if q < 1 << known.bits else int(known.first[-1])
         size = int(known.first[q + 1]) - base if q < 1 << known.bits else 1
         context = (keys >> np.uint64(32)).astype(np.int64) - base
@@ -350,7 +384,7 @@ def train(texts: DataFrame, min_count: int = MIN_COUNT, discount: float = DISCOU
     total = sum(r["total"] for r in shards)
     if not shards:
         return Model(vocabulary, {}, 0)
-    pairs = stage(_pair_shards(_count_pairs(texts, vocabulary), vocabulary, total, folder, min_count, discount), "lm-pairs").collect()
+    pairs = stage(_pair_shards(_united(_count_pairs(texts, vocabulary), size), vocabulary, total, folder, min_count, discount), "lm-pairs").collect()
     return Model(vocabulary, {r["q"]: r["uri"] for r in pairs}, total)
 
 

@@ -405,6 +405,18 @@ def test_model_beats_the_base_on_held_out_texts(spark):
     assert got.score.sum() > got.base_score.sum()
 
 
+def test_pair_counts_united_in_a_tree_give_the_same_scores(spark, monkeypatch):
+    df = spark.range(0, 300, 1, 12).selectExpr("id AS doc_id", "concat('the word', id % 7, ' the word', id % 5, ' the end') AS text")
+    held = F.col("doc_id") % 5 == 1
+    want = sorted(map(tuple, lm_score.score_documents(df, held).collect()))
+    monkeypatch.setattr(lm_score, "BYTES_PER_SHARD", 2_000)
+    monkeypatch.setattr(lm_score, "BYTES_PER_SLICE", 1_000)
+    monkeypatch.setattr(lm_score, "FAN_IN", 2)
+    got = sorted(map(tuple, lm_score.score_documents(df, held).collect()))
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    assert all(math.isclose(a, b, rel_tol=1e-12) for x, y in zip(got, want, strict=True) for a, b in zip(x[5:], y[5:], strict=True))
+
+
 def test_scores_of_edge_cases(spark, monkeypatch):
     monkeypatch.setattr(lm_score, "BYTES_PER_SHARD", 1 << 10)  # many shards
     got = lm_score.score_documents(edge_docs(spark), F.lit(False)).collect()
