@@ -31,7 +31,9 @@ THRESHOLD = 0.6
 VERIFIED = 0.12
 GROWTH = 1.2
 ROWS_PER_BLOCK = 16_384
-QUERIES_PER_BLOCK = 512
+# Rows are copied once for each block of queries, queries once for each block of rows.
+QUERIES_PER_BLOCK = 8_192
+MAX_TASKS = 100_000  # beyond it a task takes several pairs of blocks, one after the other
 
 
 def directions(dim: int, m: int, seed: int = 7) -> np.ndarray:
@@ -143,6 +145,6 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, projections: int =
                          "vec_id": pa.array(np.concatenate([i for _, i, _ in out]) if out else [], pa.int64()),
                          "score": pa.array(np.concatenate([z for _, _, z in out]) if out else [], pa.float64())})
 
-    found = pairs.repartition(n_blocks * n_query_blocks, "b", "qb").groupBy("b", "qb").applyInArrow(find, "query_id long, vec_id long, score double")
+    found = pairs.repartition(min(n_blocks * n_query_blocks, MAX_TASKS), "b", "qb").groupBy("b", "qb").applyInArrow(find, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
