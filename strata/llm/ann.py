@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.sinks.writer import stage
+
 PROJECTIONS = 64
 THRESHOLD = 0.6
 VERIFIED = 0.12
@@ -121,7 +123,7 @@ def usable(vectors: DataFrame) -> DataFrame:
 def search(vectors: DataFrame, is_query: Column, k: int = 20, projections: int = PROJECTIONS, threshold: float = THRESHOLD,
            verified: float = VERIFIED, rows_per_block: int = ROWS_PER_BLOCK, queries_per_block: int = QUERIES_PER_BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found for every row for which ``is_query`` holds."""
-    rows = usable(vectors)
+    rows = stage(usable(vectors), "ann-rows")  # read four times below
     queries = rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     s = rows.agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("top")).first()
