@@ -24,7 +24,8 @@ from strata.llm.common import crc_mod, maybe_in
 from strata.session import scratch_path
 from strata.sinks.writer import stage
 
-# A prediction that does not beat its closest rival is no identification.
+# The score is the product of the winner's chances against its closest rival family and its closest
+# rival language within the family; below one half the text (most often of mixed languages) is not told.
 MIN_LANGUAGE_SCORE = 0.5
 
 
