@@ -8,8 +8,9 @@ where it may not jump, the bucket of that word pair (keyed again by the first
 words) holds the few patterns to compare word by word.
 
 The machines travel to the tasks in chunks of benchmark items of at most
-``max_chunk_bytes`` of text each: a larger benchmark makes several passes, whose
-hits are united per document, so no size of benchmark is cut short.
+``max_chunk_bytes`` of text each: a larger benchmark makes several passes over
+a written copy of the documents, whose hits are united per document, so no size
+of benchmark is cut short or fills a worker's memory.
 
 Defined cases: null or wordless texts have no words and no hits; repeated
 documents are judged each; repeated item ids count once; a null item id reads
@@ -19,6 +20,7 @@ as ``null``; other columns are kept as they are.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -26,9 +28,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm.common import utf8
+from strata.sinks.writer import stage
 
 WINDOW = 10
-MAX_CHUNK_BYTES = 32 << 20
+MAX_CHUNK_BYTES = 2 << 20  # some 300,000 patterns, 300 MB of tables in a worker
 # Bytes of words: digits, letters (A-Z folded) and everything beyond ASCII; the rest becomes a space.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _HITS = T.StructType([T.StructField("n_words", T.LongType()),
@@ -134,17 +137,21 @@ def _chunks(benchmark: DataFrame, max_chunk_bytes: int) -> Iterator[list[tuple[s
 def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW,
          max_chunk_bytes: int = MAX_CHUNK_BYTES) -> DataFrame:
     """Add ``__hits``: n_words, the united word spans (first, last) of all occurrences, and the sorted ids of their items."""
-    found: list[Column] = []
-    out = docs
-    for k, chunk in enumerate(_chunks(benchmark, max_chunk_bytes)):
-        out = out.withColumn(f"__hits{k}", _search(docs.sparkSession, chunk, window)(utf8(F.col(text))))
-        found.append(F.col(f"__hits{k}"))
-    if len(found) == 1:
-        return out.withColumnRenamed("__hits0", "__hits")
-    spans = F.array_sort(F.flatten(F.array(*[c["spans"] for c in found])))
-    items = F.array_sort(F.array_distinct(F.flatten(F.array(*[c["items"] for c in found]))))
-    return out.withColumn("__hits", F.struct(found[0]["n_words"].alias("n_words"), _unite(spans).alias("spans"), items.alias("items"))
-                          ).drop(*[f"__hits{k}" for k in range(len(found))])
+    chunks = _chunks(benchmark, max_chunk_bytes)
+    spark, first, second = docs.sparkSession, next(chunks), next(chunks, None)
+    if second is None:
+        return docs.withColumn("__hits", _search(spark, first, window)(utf8(F.col(text))))
+    # one pass a chunk, each done before the next starts, so that a worker holds one chunk's machines
+    rows = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "decontaminate-docs")
+    found = None
+    for k, chunk in enumerate(chain([first, second], chunks)):
+        hits = rows.select("__row", _search(spark, chunk, window)(utf8(F.col(text))).alias("h"))
+        hits = stage(hits if k == 0 else hits.where(F.size("h.items") > 0), "decontaminate-hits")
+        found = hits if found is None else found.union(hits)
+    h = F.struct(F.max("h.n_words").alias("n_words"), _unite(F.array_sort(F.flatten(F.collect_list("h.spans")))).alias("spans"),
+                 F.array_sort(F.array_distinct(F.flatten(F.collect_list("h.items")))).alias("items"))
+    # a document's own hits meet, no more
+    return rows.join(found.groupBy("__row").agg(h.alias("__hits")), "__row").drop("__row")
 
 
 def _unite(spans: Column) -> Column:
