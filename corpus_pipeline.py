@@ -25,7 +25,7 @@ from strata.session import scratch_path
 from strata.sinks.writer import stage
 
 # The score is the product of the winner's chances against its closest rival family and its closest
-# rival language within the family; below one half the text (most often of mixed languages) is not told.
+# rival language within the family; below one half the text is not told.
 MIN_LANGUAGE_SCORE = 0.5
 
 
