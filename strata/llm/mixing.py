@@ -1,12 +1,13 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
 Each source's documents, in the order of a hash of their ids, form one stream
-of words that is cut into blocks of equal word counts. The schedule is a row
-of slots: golden-ratio points mapped through the cumulative target weights
+of words that is cut into blocks of its own, equal to a word. The schedule is a
+row of slots: golden-ratio points mapped through the cumulative target weights
 give each slot its source, the rank of a slot among its source's slots picks
-the block (round again when the blocks run out, at most ``MAX_EPOCHS`` times).
-Joining slots and blocks says how often each block, and so each word of a
-document, is taken.
+its share of the source's target, block after block (round again when the
+blocks run out, at most ``MAX_EPOCHS`` times). Joining slots and blocks says how
+often each block, and so each word of a document, is taken; the target of a
+source is met to half a block of that source, whatever the other sources hold.
 
 Running positions are never taken over a whole source in one task: words are
 summed within (source, hash prefix) and slots ranked within (source, chunk),
@@ -22,7 +23,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import WORD
@@ -64,7 +65,7 @@ def targets(sized: DataFrame) -> DataFrame:
 
 
 def schedule(per_source: DataFrame, slots: int) -> DataFrame:
-    """(rank of the source, slot, k): slot number ``slot`` is the ``k``-th (from 0) of its source."""
+    """(rank of the source, slot, k, m): slot number ``slot`` is the ``k``-th (from 0) of its source's ``m``."""
     spark = per_source.sparkSession
     by_rank = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
     total = F.max("__upto").over(Window.partitionBy())
@@ -80,10 +81,31 @@ def schedule(per_source: DataFrame, slots: int) -> DataFrame:
              .join(cells, "__cell").where("__lo <= __point and __point < __hi")
              .select("rank", F.col("id").alias("slot"), F.floor(F.col("id") / _CHUNK).alias("__chunk")))
     offsets = (drawn.groupBy("rank", "__chunk").count()
-               .select("rank", "__chunk", (F.sum("count").over(Window.partitionBy("rank").orderBy("__chunk")) - F.col("count")).alias("__offset")))
+               .select("rank", "__chunk", (F.sum("count").over(Window.partitionBy("rank").orderBy("__chunk")) - F.col("count")).alias("__offset"),
+                       F.sum("count").over(Window.partitionBy("rank")).alias("m")))
     within = F.row_number().over(Window.partitionBy("rank", "__chunk").orderBy("slot"))
     return (drawn.withColumn("__n", within).join(offsets, ["rank", "__chunk"])
-            .select("rank", "slot", (F.col("__offset") + F.col("__n") - 1).alias("k")))
+            .select("rank", "slot", (F.col("__offset") + F.col("__n") - 1).alias("k"), "m"))
+
+
+def _cut(df: DataFrame, block: int) -> DataFrame:
+    """Adds each source's blocks: the first ``__longer`` of ``__blocks`` hold ``__length`` + 1 words, the others ``__length``.
+
+    They hold about ``block`` words, but a source has ``SLOTS_PER_SOURCE`` of them at least, down to one word each.
+    """
+    few = F.greatest(F.ceil(F.col("source_size") / block), F.lit(SLOTS_PER_SOURCE))
+    return (df.withColumn("__blocks", F.greatest(F.least(F.col("source_size"), few), F.lit(1)))
+            .withColumn("__length", F.expr("source_size div __blocks")).withColumn("__longer", F.expr("source_size % __blocks")))
+
+
+def _block_of(word: Column) -> Column:
+    long_words = F.col("__longer") * (F.col("__length") + 1)
+    return (F.when(word < long_words, F.floor(word / (F.col("__length") + 1)))
+            .otherwise(F.col("__longer") + F.floor((word - long_words) / F.greatest(F.col("__length"), F.lit(1)))))
+
+
+def _start_of(block: Column) -> Column:
+    return block * F.col("__length") + F.least(block, F.col("__longer"))
 
 
 def mix(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
@@ -106,17 +128,24 @@ def mix(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     placed = (placed.withColumn("__end", F.sum("size").over(run)).join(totals, ["rank", "__prefix"])
               .withColumn("__end", F.col("__offset") + F.col("__end")).withColumn("__start", F.col("__end") - F.col("size")))
 
-    # The last block of a source may be short; its slots are as many as any other's.
     plan = schedule(per_source, math.ceil(words / block))
-    blocks = per_source.select("rank", F.ceil(F.col("source_size") / block).alias("__blocks"))
+    if block > 1:  # a source too small for a slot of the shared schedule has one of its own
+        slotless = per_source.where("target > 0").join(plan.select("rank").distinct(), "rank", "left_anti")
+        plan = plan.unionByName(slotless.select("rank", F.lit(None).cast("long").alias("slot"), F.lit(0).cast("long").alias("k"), F.lit(1).cast("long").alias("m")))
+    blocks = _cut(per_source, block).select("rank", "source_size", "target", "__blocks")
     blocks = F.broadcast(blocks) if n_sources <= MAX_BROADCAST_SOURCES else blocks
-    uses = (plan.join(blocks, "rank").where(F.col("k") < MAX_EPOCHS * F.col("__blocks"))
-            .groupBy("rank", (F.col("k") % F.col("__blocks")).alias("__block")).agg(F.count(F.lit(1)).alias("__uses")))
+    # Block by block a source is taken as often as its target says; where a block is a word, a slot is one too.
+    wanted = F.col("m") if block == 1 else F.round(F.col("target") * F.col("__blocks") / F.col("source_size")).cast("long")
+    up_to = lambda k: F.when(k == F.col("m"), F.col("__wanted")).otherwise(F.floor(k * (F.col("__wanted") / F.col("m"))))
+    uses = (plan.join(blocks, "rank").withColumn("__wanted", F.least(wanted, MAX_EPOCHS * F.col("__blocks")))
+            .withColumn("__from", up_to(F.col("k"))).withColumn("__to", up_to(F.col("k") + 1)).where("__from < __to")
+            .withColumn("__use", F.explode(F.sequence(F.col("__from"), F.col("__to") - 1)))
+            .groupBy("rank", (F.col("__use") % F.col("__blocks")).alias("__block")).agg(F.count(F.lit(1)).alias("__uses")))
 
     keys = ["doc_id", "source", "size", "source_size", "target"]
-    spread = placed.withColumn("__block", F.explode(F.when(F.col("size") > 0, F.sequence(
-        F.floor(F.col("__start") / block), F.floor((F.col("__end") - 1) / block))).otherwise(F.array(F.lit(-1).cast("long")))))
-    overlap = F.least("__end", (F.col("__block") + 1) * block) - F.greatest("__start", F.col("__block") * block)
+    spread = _cut(placed, block).withColumn("__block", F.explode(F.when(F.col("size") > 0, F.sequence(
+        _block_of(F.col("__start")), _block_of(F.col("__end") - 1))).otherwise(F.array(F.lit(-1).cast("long")))))
+    overlap = F.least("__end", _start_of(F.col("__block") + 1)) - F.greatest("__start", _start_of(F.col("__block")))
     return (spread.join(uses, ["rank", "__block"], "left")
             .groupBy(*keys, "rank", "__start", "__md5")
             .agg(F.sum(F.coalesce(F.when(F.col("size") > 0, overlap * F.col("__uses")), F.lit(0))).alias("taken"),

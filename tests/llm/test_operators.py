@@ -122,6 +122,19 @@ def test_mix_targets_and_bounds(spark):
     assert again == {(r.doc_id, r.taken) for r in got}
 
 
+def test_mix_meets_the_targets_of_sources_far_smaller_than_a_block(spark):
+    sizes = {"a": 1, "b": 10, "c": 50, "d": 1_000, "e": 9_000, "huge": 3_000_000}
+    docs = [(100 * i + j, "w " * (n // 10 + (n % 10 if j == 0 else 0)), "en", s, 0) for i, (s, n) in enumerate(sizes.items()) for j in range(10)]
+    got = mixing.mix(spark.createDataFrame(docs, DOC), slots=64).collect()  # blocks of 123 words
+    want, taken = water_fill(sizes), Counter()
+    for r in got:
+        assert 0 <= r.taken <= 3 * r.size
+        taken[r.source] += r.taken
+    assert len(got) == len(docs)
+    for s in sizes:
+        assert abs(taken[s] - want[s]) <= 1 + 0.001 * want[s], (s, taken[s], want[s])
+
+
 def test_mix_edge_cases(spark):
     got = mixing.mix(edge_docs(spark)).collect()
     assert len(got) == len(EDGE) and all(r.taken <= 3 * r.size for r in got)
