@@ -6,11 +6,13 @@ elements whose class or id names advertising, comments, notices ...), outside
 the article of a page that marks one, or is mostly link text; it is content if
 it is long and rich in stop words; short or poor blocks stay undecided. Second
 pass: an undecided block takes the label of its nearest decided neighbours in
-the same part of the page; a heading takes the label of what follows it.
+the same part of the page; a heading takes the label of what follows it. A page
+without a block rich in the listed stop words is judged by length and link
+density alone, and a long block of few links never follows a list of links.
 
 Defined cases: null or empty html gives an empty text; markup that never
-closes runs to the end of the page; a page without any decided block keeps its
-undecided ones; nothing is cut off, however long.
+closes runs to the end of the page; a page without any block decided to be
+content keeps its undecided ones; nothing is cut off, however long.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from pyspark.sql.types import StringType
 
 LONG = 70
 LINKED = 0.5
+FEW_LINKED = 0.2
 STOP_SHARE = 0.08
 # Frequent function words of four languages.
 STOP_WORDS = frozenset((
@@ -142,10 +145,23 @@ def _first_pass(b: _Block, marked: bool) -> bool | None:
     return None
 
 
+def _long_text(b: _Block) -> bool:
+    return len(b.text) >= LONG and b.linked <= FEW_LINKED * len(b.text)
+
+
+def _by_length(found: list[_Block], labels: list[bool | None]) -> list[bool | None]:
+    """Labels for a page on which no block was found rich in stop words (another language, code, tables)."""
+    if CONTENT in labels:
+        return labels
+    return [CONTENT if lab is None and _long_text(b) else lab for b, lab in zip(found, labels, strict=True)]
+
+
 def _second_pass(found: list[_Block], labels: list[bool | None], marked: bool) -> list[bool]:
     """Undecided blocks between decided ones; structure's own verdicts say nothing about their neighbours."""
     n, out = len(found), list(labels)
     telling = [lab if not found[i].bad and not (marked and not found[i].region) else None for i, lab in enumerate(labels)]
+    if CONTENT not in telling:  # links alone do not tell what is around them
+        telling = [None] * n
     before: list[int] = []
     last = -1
     for i in range(n):
@@ -165,7 +181,7 @@ def _second_pass(found: list[_Block], labels: list[bool | None], marked: bool) -
                 near = right
             else:
                 near = CONTENT if i - a == b - i else (left if i - a < b - i else right)
-            out[i] = CONTENT if near is None else near
+            out[i] = CONTENT if near is None or _long_text(found[i]) else near
     return out
 
 
@@ -173,7 +189,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     found, marked = blocks(page)
-    labels = [_first_pass(b, marked) for b in found]
+    labels = _by_length(found, [_first_pass(b, marked) for b in found])
     return "\n".join(b.text for b, keep in zip(found, _second_pass(found, labels, marked), strict=True) if keep)
 
 

@@ -215,6 +215,26 @@ def test_html_cases(page, text):
     assert html_extract.main_text(page) == text
 
 
+LINKS = "<ul><li><a href=x>one link of many</a></li><li><a href=y>another link</a></li></ul>"
+POLISH = "Wczoraj wieczorem mieszkańcy miasteczka zebrali się przed ratuszem, żeby posłuchać koncertu orkiestry dętej."
+RUSSIAN = "Вчера вечером жители городка собрались перед ратушей, чтобы послушать концерт духового оркестра под открытым небом."
+JAPANESE = "昨日の夕方、町の住民たちは市役所の前に集まり、吹奏楽団の演奏会を聴いた。" * 3
+CODE = "x = compute(alpha, beta, gamma); y = transform(x, delta); print(y, epsilon, zeta, eta, theta, iota, kappa)"
+
+
+@pytest.mark.parametrize("text", [POLISH, RUSSIAN, JAPANESE])
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<div>{}</div>"])
+def test_html_of_other_languages_outlives_a_list_of_links(text, wrap):
+    for inner in (f"<h1>Tytuł</h1><p>{text}</p><p>{text}</p>{LINKS}", f"{LINKS}<h1>Tytuł</h1><p>{text}</p><p>{text}</p>{LINKS}"):
+        assert html_extract.main_text(wrap.format(inner)) == f"Tytuł\n{text}\n{text}"
+
+
+def test_html_long_code_and_short_pages_outlive_a_list_of_links():
+    assert html_extract.main_text(f"<p>{PROSE}</p>{LINKS}<pre>{CODE}</pre>{LINKS}") == f"{PROSE}\n{CODE}"
+    assert html_extract.main_text(f"{LINKS}<p>Krótki tekst.</p>") == "Krótki tekst."
+    assert html_extract.main_text(f"<p>{PROSE}</p>{LINKS}<p>Menu</p>{LINKS}") == PROSE
+
+
 def test_html_of_odd_tables(spark):
     pages = spark.createDataFrame([(1, None, None), (None, "u", "<p>x</p>"), (1, None, None), (2, "u", "<p>" + "the word of it " * 20_000)], "page_id long, url string, html string")
     got = html_extract.extract(pages.withColumn("text", F.lit("clash"))).collect()
