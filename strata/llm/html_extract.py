@@ -2,7 +2,8 @@
 
 A page is cut into blocks at block-level tags. First pass: a block is
 boilerplate if it lies in boilerplate structure (menus, footers, forms,
-elements whose class or id names advertising, comments, notices ...), outside
+elements of which a whole class or id names advertising, comments, notices ...,
+not one that only mentions them, as ``has-sidebar`` or ``related-work``), outside
 the article of a page that marks one, or is mostly link text; it is content if
 it is long and rich in stop words; short or poor blocks stay undecided. Second
 pass: an undecided block takes the label of its nearest decided neighbours in
@@ -12,7 +13,9 @@ density alone, and a long block of few links never follows a list of links.
 
 Defined cases: null or empty html gives an empty text; markup that never
 closes runs to the end of the page; a page without any block decided to be
-content keeps its undecided ones; nothing is cut off, however long.
+content keeps its undecided ones; a page that is empty but for a long text in an
+element only named like boilerplate is read again without such names; nothing is
+cut off, however long.
 """
 
 from __future__ import annotations
@@ -52,24 +55,39 @@ _BAD_WORDS = frozenset((
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments comentarios cookie cookies consent copyright disqus dialog footer form "
     "header hidden login masthead menu modal nav navbar navigation newsletter notice notices notification pagination pager popup promo promotion recommended related "
     "search share sharing sidebar social sponsor sponsored subscribe subscription tags toolbar widget alert complementary contentinfo").split())
+# Words that say where or how a named part is laid out, not what it is about.
+_PLAIN_WORDS = frozenset((
+    "area article articles bar block bottom box button buttons cell center col column container content desktop entry facebook fixed floating global google group icon icons inner "
+    "item items left link links list main media mini mobile module news outer page panel post posts primary region results right row secondary section signup site slot small sticky "
+    "stories sub top twitter unit user web wp wrap wrapper").split())
+_MODIFIERS = frozenset("has have is no non not off on show hide toggle with without".split())
 _BAD_STYLE = re.compile(r"display\s*:\s*none|\bhidden\b(?!\s*=\s*[\"']?until)", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 CONTENT, BOILERPLATE = True, False
+NAMED, STRUCTURE = 1, 2
 
 
-def _boilerplate_element(name: str, rest: str, in_article: bool) -> bool:
+def _bad_name(name: str) -> bool:
+    """A class, id or role all of whose words name boilerplate or its place."""
+    words = [w for w in re.split(r"[^a-z]+", name) if len(w) > 1]
+    return not _BAD_WORDS.isdisjoint(words) and all(w in _BAD_WORDS or w in _PLAIN_WORDS for w in words) and _MODIFIERS.isdisjoint(words)
+
+
+def _boilerplate_element(name: str, rest: str, in_article: bool) -> int:
+    """0: no, NAMED: by a name alone, STRUCTURE: by its tag or as hidden."""
     if name in _BAD_TAGS and not (in_article and name == "header"):
-        return True
+        return STRUCTURE
     if not rest or name in ("html", "body", "article", "main"):
-        return False
-    named = " ".join(a or b or c for a, b, c in _NAMED.findall(rest)).lower()
-    return not _BAD_WORDS.isdisjoint(re.split(r"[^a-z]+", named)) or bool(_BAD_STYLE.search(rest))
+        return 0
+    if _BAD_STYLE.search(_NAMED.sub(" ", rest)):
+        return STRUCTURE
+    return NAMED if any(_bad_name(x) for a, b, c in _NAMED.findall(rest) for x in (a or b or c).lower().split()) else 0
 
 
 class _Block:
     __slots__ = ("text", "linked", "bad", "region", "heading")
 
-    def __init__(self, text: str, linked: int, bad: bool, region: bool, heading: bool):
+    def __init__(self, text: str, linked: int, bad: int, region: bool, heading: bool):
         self.text, self.linked, self.bad, self.region, self.heading = text, linked, bad, region, heading
 
 
@@ -78,14 +96,14 @@ def blocks(page: str) -> tuple[list[_Block], bool]:
     out: list[_Block] = []
     parts: list[str] = []
     state = {"linked": 0, "heading": False}
-    stack: list[tuple[str, bool, bool]] = []  # name, boilerplate, inside the article
+    stack: list[tuple[str, int, bool]] = []  # name, boilerplate, inside the article
     link = marked = False
 
     def flush() -> None:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                _, bad, region = stack[-1] if stack else ("", False, False)
+                _, bad, region = stack[-1] if stack else ("", 0, False)
                 out.append(_Block(text, state["linked"], bad, region, state["heading"]))
             parts.clear()
         state["linked"] = 0
@@ -124,8 +142,8 @@ def blocks(page: str) -> tuple[list[_Block], bool]:
                     article = name in ("article", "main")
                     if article or name == "body":  # whatever was left open before does not reach into it
                         stack = [s for s in stack if not s[1]]
-                    _, bad, region = stack[-1] if stack else ("", False, False)
-                    stack.append((name, bad or _boilerplate_element(name, rest, region), region or article))
+                    _, bad, region = stack[-1] if stack else ("", 0, False)
+                    stack.append((name, max(bad, _boilerplate_element(name, rest, region)), region or article))
                     marked |= article
     say(page[at:])
     flush()
@@ -189,8 +207,18 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     found, marked = blocks(page)
+    kept = _kept(found, marked)
+    if not kept and any(b.bad == NAMED for b in found):
+        for b in found:
+            b.bad = b.bad if b.bad == STRUCTURE else 0
+        if any(_long_text(b) and _first_pass(b, marked) == CONTENT for b in found):
+            kept = _kept(found, marked)
+    return "\n".join(kept)
+
+
+def _kept(found: list[_Block], marked: bool) -> list[str]:
     labels = _by_length(found, [_first_pass(b, marked) for b in found])
-    return "\n".join(b.text for b, keep in zip(found, _second_pass(found, labels, marked), strict=True) if keep)
+    return [b.text for b, keep in zip(found, _second_pass(found, labels, marked), strict=True) if keep]
 
 
 @F.pandas_udf(StringType())

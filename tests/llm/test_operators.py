@@ -235,6 +235,23 @@ def test_html_long_code_and_short_pages_outlive_a_list_of_links():
     assert html_extract.main_text(f"<p>{PROSE}</p>{LINKS}<p>Menu</p>{LINKS}") == PROSE
 
 
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-sidebar", "layout--with-header", "related-work", "search-results-explained", "market-share"])
+def test_html_names_that_only_mention_boilerplate(name):
+    for page in (f"<div class='{name}'><p>{PROSE}</p></div>", f"<article><section id='{name.split()[-1]}'><p>{PROSE}</p></section></article>"):
+        assert html_extract.main_text(page) == PROSE
+
+
+@pytest.mark.parametrize("name", ["sidebar", "left-sidebar", "site-footer", "comment-12", "cookie-banner", "related-posts", "box ad-slot-300x250", "share-buttons"])
+def test_html_names_of_boilerplate(name):
+    assert html_extract.main_text(f"<p>{PROSE}</p><div class='{name}'><p>{PROSE}</p></div>") == PROSE
+
+
+def test_html_a_text_in_a_named_wrapper_of_an_empty_page_is_kept():
+    assert html_extract.main_text(f"<nav>{PROSE}</nav><div class=search><h1>Title</h1><p>{PROSE}</p></div><footer>{PROSE}</footer>") == f"Title\n{PROSE}"
+    assert html_extract.main_text("<div class=search><p>Find</p></div>") == ""
+    assert html_extract.main_text(f"<div style='display:none' class=ad><p>{PROSE}</p></div>") == ""
+
+
 def test_html_of_odd_tables(spark):
     pages = spark.createDataFrame([(1, None, None), (None, "u", "<p>x</p>"), (1, None, None), (2, "u", "<p>" + "the word of it " * 20_000)], "page_id long, url string, html string")
     got = html_extract.extract(pages.withColumn("text", F.lit("clash"))).collect()
