@@ -24,9 +24,9 @@ from strata.llm.common import crc_mod, maybe_in
 from strata.session import scratch_path
 from strata.sinks.writer import stage
 
-# The score is the product of the winner's chances against its closest rival family and its closest
-# rival language within the family; below one half the text is not told.
-MIN_LANGUAGE_SCORE = 0.5
+# No bound on the score: a short text of one language may score as low as one that mixes several,
+# so only what the operator itself rejects is dropped.
+MIN_LANGUAGE_SCORE = 0.0
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,6 +43,15 @@ def test_stages_keep_columns_and_take_odd_rows(spark):
         assert corpus_pipeline.STAGES[3][1](spark, at, SF_SMALL).count() == n
 
 
+def test_short_texts_of_a_learnt_language_stay(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    short = [(10_000_000 + i, t, None, "s", len(t)) for i, t in enumerate("a de la un en die in es la le on des an es un de".split())]
+    docs = docs.unionByName(spark.createDataFrame(short, DOC))
+    told = docs.where(F.col("text").rlike(r"\p{L}"))
+    kept = corpus_pipeline.language_id(spark, docs, SF_SMALL)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in told.collect())
+
+
 def test_one_of_each_group_stays(spark):
     text = "one two three four five six seven eight nine ten"
     docs = spark.createDataFrame([(3, text, "en", "s", 0), (2, text.upper(), "en", "s", 0), (2, text.upper(), "en", "s", 0), (9, "other words", "en", "s", 0), (None, text, "en", "s", 0)], DOC)
