@@ -8,8 +8,8 @@ successor ids are added to the last value of the context before it), with
 quantised smoothed probabilities. A query finds the context's range by its
 pointers and searches the successor within it.
 
-Model: bigrams seen at least ``MIN_COUNT`` times, absolute discounting, the
-rest of a context's mass spread by the base unigram model (add one half over
+Model: all bigrams seen (``min_count`` may leave out rare ones), absolute
+discounting, the rest of a context's mass spread by the base unigram model (add one half over
 the vocabulary and one unknown word), so probabilities sum to one. The start of
 a text is a context of its own.
 
@@ -45,7 +45,7 @@ from strata.llm.hashing import WordHashes, words
 from strata.session import scratch_path
 from strata.sinks.writer import stage
 
-MIN_COUNT = 2
+MIN_COUNT = 1
 DISCOUNT = 0.75
 BYTES_PER_SHARD = 32 << 20
 # Partial pair counts are united in a tree: first those of this much text, then FAN_IN of the results at a time.

@@ -450,6 +450,12 @@ def test_scores_against_a_plain_model(spark):
         assert abs(r.score - sum(math.log10(prob(a, x)) for a, x in zip(["<s>", *w[:-1]], w, strict=True))) < 2 * lm_score._STEP * len(w)
 
 
+def test_a_pair_seen_once_is_kept(spark):
+    docs = [(0, "red house"), (1, "green tree"), (2, "red car"), (10, "red house"), (11, "red tree")]
+    got = {r.doc_id: r for r in lm_score.score_documents(spark.createDataFrame(docs, "doc_id long, text string"), F.col("doc_id") >= 10).collect()}
+    assert got[10].base_score == got[11].base_score and got[10].score > got[11].score + 0.3
+
+
 def test_model_beats_the_base_on_held_out_texts(spark):
     got = queries.op8_lm_score(spark, "/root/testdata/sf0.01").where("held_out").toPandas()
     assert got.score.sum() > got.base_score.sum()
