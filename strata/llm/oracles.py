@@ -117,4 +117,18 @@ comp AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(class.n, 0)::BIGINT AS n_shingles, coalesce(component_id, d.doc_id) AS component_id, coalesce(class_id, d.doc_id) AS class_id
 FROM d LEFT JOIN class USING (doc_id) LEFT JOIN comp ON a = class_id"""
 
-ORACLES = {"op1_url_filter": OP1, "op2_mixing": OP2, "op3_decontaminate": OP3, "op6_warc": OP6, "op7_jaccard_join": OP7}
+_TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP12 = rf"""
+WITH d AS (SELECT doc_id, w, len(w)::BIGINT AS n FROM (SELECT doc_id, {_TERMS} AS w FROM documents) WHERE len(w) > 0),
+total AS (SELECT count(*) AS nn, sum(n)::BIGINT AS l FROM d),
+i AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS t FROM benchmark),
+tf AS (SELECT doc_id, n, t, count(*) AS tf FROM (SELECT doc_id, n, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM i) GROUP BY ALL),
+wt AS (SELECT t, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), total),
+s AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * nn) // l))))::BIGINT AS score
+  FROM i JOIN tf USING (t) JOIN wt USING (t), total GROUP BY ALL
+),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50"""
+
+ORACLES = {"op1_url_filter": OP1, "op2_mixing": OP2, "op3_decontaminate": OP3, "op6_warc": OP6, "op7_jaccard_join": OP7, "op12_ranked_search": OP12}

@@ -11,7 +11,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import ann, decontaminate, html_extract, jaccard_join, langid, lm_score, mixing, token_counts, url_filter, warc
+from strata.llm import (ann, ball_tree, decontaminate, html_extract, jaccard_join, langid, lm_score, mixing, repair, token_counts, url_filter, warc,
+                        whitening)
 from strata.llm.common import crc_mod
 from strata.session import scratch_path
 from strata.sinks.writer import stage
@@ -74,5 +75,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(_table(spark, sf_dir, "documents"), _folder(spark, "tokens"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.round_trip(_table(spark, sf_dir, "documents"), _folder(spark, "token-files"))
+
+
 QUERIES = {f.__name__: f for f in (op1_url_filter, op2_mixing, op3_decontaminate, op4_html_text, op5_langid, op6_warc,
-                                   op7_jaccard_join, op8_lm_score, op9_nearest, op10_token_counts)}
+                                   op7_jaccard_join, op8_lm_score, op9_nearest, op10_token_counts, op11_whitening, op12_ranked_search,
+                                   op13_token_files)}
