@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import re
+import sys
+from collections.abc import Callable, Hashable
+from types import ModuleType
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +31,14 @@ def crc_mod(doc_id: Column, n: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
 
 
+def kept(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What ``make`` gave the first time in this Python worker: for tables that take long to load, whatever tasks come."""
+    store = sys.modules.setdefault("_strata_kept", ModuleType("_strata_kept")).__dict__
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
 def strip_scheme(uri: str) -> str:
     """``file:`` URIs as plain paths; others unchanged."""
     return re.sub(r"^file:/+", "/", uri)
