@@ -70,6 +70,9 @@ def append_log(rows: DataFrame, log_path: str) -> None:
     Rows are gathered by layer; AQE makes one file of a few rows and splits a
     layer that is large.
     """
+    from strata.sinks.writer import recover
+
+    recover(rows.sparkSession, log_path)
     rows.hint("rebalance", "layer").write.mode("append").partitionBy("layer").parquet(log_path)
 
 
@@ -82,21 +85,21 @@ def read_log(spark: SparkSession, log_path: str, layer: str | None = None) -> Da
 
     A row that a retried writer appended again (same id, status and file) counts once.
     """
-    df = spark.read.schema(LOG_SCHEMA).parquet(log_path).dropDuplicates(["id", "status", "file_name"])
+    from strata.sinks.writer import current
+
+    df = spark.read.schema(LOG_SCHEMA).parquet(current(spark, log_path)).dropDuplicates(["id", "status", "file_name"])
     return df if layer is None else df.where(F.col("layer") == _layer_py(layer))
 
 
 def compact_log(spark: SparkSession, log_path: str, files_per_layer: int = 1) -> None:
     """Rewrite the log into a few files per layer (each append adds one small file).
 
-    The rows are staged under the shared checkpoint folder first, because a
-    table cannot be overwritten while it is being read.
+    The rows are written beside the log and switched to in one step, so a crash
+    leaves the old log or the new one.
     """
-    from strata.sinks.writer import stage
+    from strata.sinks.writer import write
 
-    staged = stage(read_log(spark, log_path), "log-compact")
-    (staged.repartition(files_per_layer, "layer").write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy("layer").parquet(log_path))
+    write(read_log(spark, log_path).repartition(files_per_layer, "layer"), log_path, "overwrite", "layer", cluster=False)
 
 
 def successful(log: DataFrame) -> DataFrame:

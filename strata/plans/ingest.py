@@ -19,7 +19,7 @@ from strata.operators import runlog
 from strata.sinks.writer import replace_partitions
 from strata.sources.landing import read_conformed
 from strata.sources.months import with_source_names
-from strata.sources.paths import path_exists, table_exists
+from strata.sources.paths import path_exists
 
 
 def plan_months(months: DataFrame, source_name: str, landing: str, target: str, log: DataFrame | None) -> DataFrame:
@@ -50,7 +50,7 @@ def ingest(
     The pending list is metadata (one row a month) and is collected to name
     the folders to read; the data itself never passes through the driver.
     """
-    log = runlog.read_log(spark, log_path, "bronze") if table_exists(spark, log_path) else None
+    log = runlog.read_log(spark, log_path, "bronze") if path_exists(spark, log_path) else None
     todo = {r["year_month"]: r for r in plan_months(months, source_name, landing, target, log).orderBy("year_month").collect()}
     if not todo:
         return []

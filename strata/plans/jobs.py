@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from strata.functions.dates import DateLike
-from strata.operators.checks import row_count_check
+from strata.operators.checks import reconcile, row_count_check
 from strata.operators.dimensions import calendar
 from strata.plans import fact as fact_jobs
 from strata.plans import model
@@ -81,38 +81,56 @@ def dimension_job(spark: SparkSession, lake: Lake, incremental: bool = True) ->
 
 
 def silver_job(spark: SparkSession, lake: Lake, refresh: str = "full", as_of: DateLike = None,
-               months: int = 2, **kw) -> None:
+               months: int = 2, **kw) -> DataFrame | None:
     """The trip fact: one overwrite job (``full``) or an upsert of recent months (``incremental``).
 
+    Returns the days that an incremental refresh changed (None after a full one), for :func:`gold_job`.
+
     ``dedup_scope="source"`` drops exact copies only within the month they were
     landed in (bronze ``year`` and ``month``); the default drops them over all.
     """
     cat = lake.catalog()
     deps = cat.load_dependencies(spark, "fact_yellow_trip")
     bronze = deps.pop("yellow_trip")
-    dest = cat["fact_yellow_trip"].path
+    dest, changed = cat["fact_yellow_trip"].path, []
     if refresh == "full":
         def action():
             fact_jobs.refresh_full(bronze, deps, dest, as_of, **kw)
     elif refresh == "incremental":
         def action():
-            fact_jobs.refresh_incremental(spark, bronze, deps, dest, months, as_of, **kw)
+            changed.append(fact_jobs.refresh_incremental(spark, bronze, deps, dest, months, as_of, **kw))
     else:
         raise ValueError("refresh must be 'full' or 'incremental'")
     logged(spark, lake.log, action, file_name="fact_yellow_trip", source=cat["yellow_trip"].path,
            destination=dest, load_type="overwrite" if refresh == "full" else "merge", layer="silver")
+    return changed[0] if changed else None
 
 
-def gold_job(spark: SparkSession, lake: Lake) -> None:
+def gold_job(spark: SparkSession, lake: Lake, days: DataFrame | None = None) -> None:
+    """The daily mart, whole or (with ``days``, what :func:`silver_job` returned) for the days that changed."""
     cat = lake.catalog()
     deps = cat.load_dependencies(spark, "tbl_yellow_trips_dashboard")
     fact = deps.pop("fact_yellow_trip")
     dest = cat["tbl_yellow_trips_dashboard"].path
-    logged(spark, lake.log, lambda: fact_jobs.mart_job(fact, deps, dest), file_name="tbl_yellow_trips_dashboard",
-           source=cat["fact_yellow_trip"].path, destination=dest, load_type="overwrite", layer="gold")
+    def action():
+        if days is None:
+            fact_jobs.mart_job(fact, deps, dest)
+        else:
+            fact_jobs.mart_days(fact, deps, dest, days)
+
+    logged(spark, lake.log, action, file_name="tbl_yellow_trips_dashboard", source=cat["fact_yellow_trip"].path, destination=dest,
+           load_type="overwrite" if days is None else "days", layer="gold")
 
 
 def validate_job(spark: SparkSession, lake: Lake) -> DataFrame:
     """Bronze rows >= silver rows, as a one-row result."""
     cat = lake.catalog()
     return row_count_check(cat.load(spark, "yellow_trip"), cat.load(spark, "fact_yellow_trip"), "fact_yellow_trip")
+
+
+def reconcile_job(spark: SparkSession, lake: Lake, as_of: DateLike = None, **kw) -> DataFrame:
+    """Silver against bronze by content, a row a day: the ids that bronze gives today and the ids that the fact holds."""
+    cat = lake.catalog()
+    deps = cat.load_dependencies(spark, "fact_yellow_trip")
+    expected = fact_jobs.build_fact(deps.pop("yellow_trip"), deps, as_of, **kw).select("partition_day", "trip_id")
+    return reconcile(expected, cat.load(spark, "fact_yellow_trip"), ["partition_day"], ["trip_id"])

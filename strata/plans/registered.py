@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, TimestampNTZType
 
 from strata.operators import runlog
-from strata.operators.checks import row_count_check
+from strata.operators.checks import reconcile, row_count_check
 from strata.operators.conform import cast_failures, conform
 from strata.operators.dimensions import build_dimension, date_dimension, extend_dimension
 from strata.operators.filters import recent, valid_dates
@@ -24,12 +24,13 @@ from strata.operators.reshape import rename, with_date_parts
 from strata.operators.upsert import merge
 from strata.plans import adapter, model
 from strata.plans.dims import DimensionSpec, build_all
-from strata.plans.fact import build_fact, build_mart, refresh_full, refresh_incremental
+from strata.plans.fact import build_fact, build_mart, mart_days, mart_job, refresh_full, refresh_incremental
 from strata.plans.ingest import ingest
 from strata.session import scratch_path
-from strata.sinks.writer import replace_partitions, write
+from strata.sinks.writer import STEPS, read_table, recover, replace_partitions, stage, write
 from strata.sinks.writer import upsert as upsert_table
 from strata.sources.catalog import Catalog, Dataset
+from strata.sources.footers import files, footers
 from strata.sources.landing import read_leaf
 from strata.sources.months import month_range_of, with_source_names
 from strata.sources.partitions import partitions
@@ -343,15 +344,22 @@ ORDERS_SCHEMA = {
 }
 
 
-def _landed_orders(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
-    """Landing, bronze and log folders after two ingests of the orders landed by month."""
+def _landed_months(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """The folder in which the orders landed by month, 1999 with another layout; and the orders."""
     o = _t(spark, sf_dir, "orders").withColumn("year_month", F.date_format("o_orderdate", "yyyy-MM"))
-    landing, target, log = _scratch(spark, "landing"), _scratch(spark, "bronze"), _scratch(spark, "ingest-log")
+    landing = _scratch(spark, "landing")
     is99 = F.col("year_month").startswith("1999")
     o.where(~is99).write.partitionBy("year_month").parquet(landing)
     (o.where(is99).select(F.col("o_orderkey"), F.col("o_custkey").cast("int"), "o_orderstatus",
                           F.col("o_totalprice").alias("O_TotalPrice"), "o_orderdate", "year_month")
      .write.mode("append").partitionBy("year_month").parquet(landing))
+    return landing, o
+
+
+def _landed_orders(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    """Landing, bronze and log folders after two ingests of the orders landed by month."""
+    landing, o = _landed_months(spark, sf_dir)
+    target, log = _scratch(spark, "bronze"), _scratch(spark, "ingest-log")
     months = month_range_of(o.agg(F.min("o_orderdate").alias("start"),
                                   F.add_months(F.max("o_orderdate"), 1).alias("end")))
     ingest(spark, months, landing, target, ORDERS_SCHEMA, log, "orders")
@@ -408,8 +416,7 @@ def upsert_moves_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dedup_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H2 per source month: every trip landed twice in its month, over several part files, and once in the month after."""
     path = _scratch(spark, "trips-by-month")
-    t = adapter.trips(spark, sf_dir).where(F.col(model.PICKUP) >= F.lit("2000-01-01").cast("timestamp_ntz"))
-    landed = t.withColumn("shift", F.explode(F.array(F.lit(0), F.lit(0), F.lit(1))))
+    landed = adapter.trips(spark, sf_dir).withColumn("shift", F.explode(F.array(F.lit(0), F.lit(0), F.lit(1))))
     month = F.add_months(F.trunc(model.PICKUP, "month"), F.col("shift"))
     landed = landed.withColumn("year", F.year(month)).withColumn("month", F.month(month)).drop("shift")
     write(landed.repartition(4), path, "overwrite", list(model.BRONZE_PARTITION), cluster=False)
@@ -469,6 +476,83 @@ def lake_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.withColumns({c: F.round(c, 2) for c in SUM_COLS})
 
 
+class _CutOff(Exception):
+    """Stands for a driver that dies at a step of a write."""
+
+
+def _dies_at(step: str):
+    def on_step(at: str) -> None:
+        if at == step:
+            raise _CutOff(step)
+    return on_step
+
+
+def overwrite_cut_off(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5, K6: an overwrite of the orders by status that dies at each of its steps: what is read then, and after recovery."""
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    newer = o.where("o_orderstatus <> 'F'").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    out = None
+    for step in STEPS:
+        path = _scratch(spark, f"cut-off-{step}")
+        write(o, path, "overwrite", ["o_orderstatus"])
+        try:
+            write(newer, path, "overwrite", ["o_orderstatus"], on_step=_dies_at(step))
+        except _CutOff:
+            seen = stage(read_table(spark, path), "cut-off-seen")  # before recovery moves the files
+        recover(spark, path)
+        for name, df in (("read", seen), ("recovered", spark.read.parquet(path))):
+            rows = df.select(F.lit(step).alias("step"), F.lit(name).alias("seen"), *o.columns)
+            out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def dimension_cut_off(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An extension of a dimension that dies at each step of its write, then runs again: keys stay what they were."""
+    c = _t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    out = None
+    for step in STEPS:
+        path = _scratch(spark, f"dim-cut-off-{step}")
+        spec = lambda rows, p=path: DimensionSpec("dim_customer", "c_custkey", "customer_sk", lambda s: rows, p)
+        build_all(spark, [spec(c.where(F.col("c_custkey") % 2 == 0))])
+        try:
+            build_all(spark, [spec(c)], on_step=_dies_at(step))
+        except _CutOff:
+            dim = build_all(spark, [spec(c)])["dim_customer"].withColumn("step", F.lit(step))
+        out = dim if out is None else out.unionByName(dim)
+    return out
+
+
+def mart_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C12 after C11: a mart of older days, brought up to date for the days that an incremental fact refresh changed."""
+    fact_path, mart_path = _scratch(spark, "mart-fact"), _scratch(spark, "mart")
+    dims, raw = adapter.dimensions(spark, sf_dir), adapter.dirty_trips(spark, sf_dir)
+    older = raw.where(F.col(model.PICKUP) < F.lit("2001-06-01").cast("timestamp_ntz"))
+    refresh_full(older, dims, fact_path, first_valid=adapter.FIRST_VALID)
+    mart_job(read_table(spark, fact_path), dims, mart_path)
+    days = refresh_incremental(spark, raw, dims, fact_path, months=2, as_of=AS_OF, first_valid=adapter.FIRST_VALID)
+    mart_days(read_table(spark, fact_path), dims, mart_path, days)
+    return read_table(spark, mart_path).withColumns({c: F.round(c, 2) for c in SUM_COLS})
+
+
+def reconcile_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C13 by content: the orders against a copy in which some are missing, some doubled and some changed, a row a day."""
+    o = _t(spark, sf_dir, "orders").withColumn("day", F.to_date("o_orderdate"))
+    key = F.col("o_orderkey")
+    copies = F.when(key % 97 == 0, F.array().cast("array<int>")).when(key % 89 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    faulty = (o.withColumn("o_totalprice", F.when(key % 83 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+              .withColumn("copy", F.explode(copies)).drop("copy"))
+    return reconcile(o, faulty, ["day"], ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"])
+
+
+def footer_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 planning: rows and schema of every landed month, from the files' footers alone."""
+    landing = _landed_months(spark, sf_dir)[0]
+    month = F.regexp_extract("folder", "year_month=([^/]*)$", 1)
+    has = lambda what: F.bool_and(F.col("schema_print").contains(what))
+    return footers(files(spark, [landing])).groupBy(month.alias("year_month")).agg(
+        F.sum("n_rows").alias("n_rows"), has("o_custkey int32").alias("narrow_key"), has("o_orderpriority ").alias("has_priority"))
+
+
 def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows >= silver rows."""
     fact, _ = _fact(spark, sf_dir)
@@ -511,4 +595,9 @@ QUERIES = {
     "dedup_by_month": dedup_by_month,
     "lake_end_to_end": lake_end_to_end,
     "row_count_check": row_count,
+    "overwrite_cut_off": overwrite_cut_off,
+    "dimension_cut_off": dimension_cut_off,
+    "mart_incremental": mart_incremental,
+    "reconcile_days": reconcile_days,
+    "footer_scan": footer_scan,
 }

@@ -8,8 +8,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.sources.landing import read_root
-
 
 @dataclass(frozen=True)
 class Dataset:
@@ -61,8 +59,10 @@ class Catalog:
         return self.datasets[name]
 
     def load(self, spark: SparkSession, name: str) -> DataFrame:
+        from strata.sinks.writer import read_table
+
         ds = self.datasets[name]
-        return read_root(spark, ds.path, ds.format)
+        return read_table(spark, ds.path, ds.format)
 
     def load_dependencies(self, spark: SparkSession, name: str) -> dict[str, DataFrame]:
         """Every upstream dataset of ``name``, loaded lazily, by name."""

@@ -2,22 +2,20 @@
 
 A single parquet scan over files that disagree on a column's physical type
 (``double`` in one month, ``bigint`` in another) fails. Files are therefore
-grouped by footer schema, each group is one scan, each scan is conformed to
-the declared schema, and the groups are unioned by name. Files of one
-schema, the usual case, stay one scan.
+grouped by footer schema (one distributed job reads the footers), each group
+is one scan, each scan is conformed to the declared schema, and the groups are
+unioned by name. Files of one schema, the usual case, stay one scan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DataType, StructType
 
 from strata.operators.conform import conform
+from strata.sources.footers import group_by_schema
 
 
 def read_leaf(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -30,54 +28,6 @@ def read_root(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame
     return spark.read.format(fmt).load(root)
 
 
-_READ_ERRORS = (PySparkException, Py4JJavaError)
-
-
-def _disagree(e: Exception) -> bool:
-    """Whether files failed to merge into one schema; any other error is not ours to handle."""
-    return "CANNOT_MERGE" in str(e)
-
-
-def _schema_key(schema: StructType) -> tuple:
-    return tuple((f.name.lower(), f.dataType.simpleString()) for f in schema.fields)
-
-
-def _schema_of(spark: SparkSession, path: str, fmt: str) -> StructType | None:
-    """Merged schema of one folder or file; None when its own files disagree."""
-    r = spark.read.format(fmt)
-    if fmt == "parquet":
-        r = r.option("mergeSchema", "true")
-    try:
-        return r.load(path).schema
-    except _READ_ERRORS as e:
-        if not _disagree(e):
-            raise
-        return None
-
-
-def group_by_schema(spark: SparkSession, paths: Sequence[str], fmt: str = "parquet",
-                    threads: int = 16) -> list[list[str]]:
-    """Paths grouped by schema, in first-seen order.
-
-    A landed folder is one unit (written at once, one schema), so schemas are
-    read per folder, concurrently; only a folder whose own files disagree is
-    split into its files.
-    """
-    paths = list(paths)
-    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(paths)))) as pool:
-        schemas = list(pool.map(lambda p: _schema_of(spark, p, fmt), paths))
-    groups: dict[tuple, list[str]] = {}
-    for p, sch in zip(paths, schemas):
-        if sch is None:
-            files = spark.read.format(fmt).load(p).inputFiles()
-            for g in group_by_schema(spark, files, fmt, threads) if len(files) > 1 else [files]:
-                key = _schema_key(spark.read.format(fmt).load(g[0]).schema)
-                groups.setdefault(key, []).extend(g)
-            continue
-        groups.setdefault(_schema_key(sch), []).append(p)
-    return list(groups.values())
-
-
 def read_conformed(
     spark: SparkSession,
     paths: Sequence[str],
@@ -90,20 +40,13 @@ def read_conformed(
     paths = list(paths)
     if not paths:
         raise ValueError("read_conformed: no paths")
-    def reader(merge: bool):
-        r = spark.read.format(fmt)
-        if merge and fmt == "parquet":
-            r = r.option("mergeSchema", "true")
-        return r.option("basePath", base_path) if base_path else r
-
-    try:
-        # Footers are read by a distributed job; incompatible types fail here.
-        return conform(reader(True).load(paths), schema, strict=strict)
-    except _READ_ERRORS as e:  # mixed physical schemas: fall back to groups
-        if not _disagree(e):
-            raise
-    frames = [conform(reader(True).load(group), schema, strict=strict)
-              for group in group_by_schema(spark, paths, fmt)]
+    reader = spark.read.format(fmt)
+    if base_path:
+        reader = reader.option("basePath", base_path)
+    groups = group_by_schema(spark, paths) if fmt == "parquet" else [paths]
+    if not groups:  # folders without a data file
+        raise FileNotFoundError(f"no {fmt} file under {paths[0]}" + (f" and {len(paths) - 1} others" if len(paths) > 1 else ""))
+    frames = [conform(reader.load(group), schema, strict=strict) for group in groups]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
