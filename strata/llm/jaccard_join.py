@@ -180,7 +180,7 @@ def _near(x: np.ndarray, n: np.ndarray, comp: np.ndarray, y: np.ndarray, m: np.n
     step = max(1, (1 << 20) // max(1, len(y) * x.shape[1]))
     for a in range(0, len(x), step):
         far = np.bitwise_count(x[a:a + step, None, :] ^ y[None, :, :]).sum(-1, dtype=np.int64)
-        p, q = n[a:a + step, None], m[None, :]
+        p, q = n[a:a + step, None].astype(np.int64), m[None, :].astype(np.int64)
         good = (9 * far <= p + q) & (100 * np.minimum(p, q) >= 80 * np.maximum(p, q)) & (comp[a:a + step, None] != other[None, :])
         if k is not None and k < len(y):
             near = np.argpartition(np.where(good, far, 1 << 40), k - 1, axis=1)[:, :k]

@@ -48,6 +48,7 @@ from strata.sinks.writer import stage
 MIN_COUNT = 1
 DISCOUNT = 0.75
 BYTES_PER_SHARD = 32 << 20
+MAX_WORDS = (1 << 32) - 1  # word ids are packed into 32 bits, one of them stands for a text's start
 # Partial pair counts are united in a tree: first those of this much text, then FAN_IN of the results at a time.
 BYTES_PER_SLICE = 128 << 20
 FAN_IN = 8
@@ -382,6 +383,8 @@ def train(texts: DataFrame, min_count: int = MIN_COUNT, discount: float = DISCOU
     shards = stage(_word_shards(_count_words(texts, bits), bits, folder), "lm-words").orderBy("q").collect()  # a line per shard
     vocabulary = Words(bits, [(r["q"], r["uri"], r["n"]) for r in shards])
     total = sum(r["total"] for r in shards)
+    if sum(r["n"] for r in shards) >= MAX_WORDS:
+        raise ValueError(f"more than {MAX_WORDS - 1} distinct words: ids are 32 bits wide")
     if not shards:
         return Model(vocabulary, {}, 0)
     pairs = stage(_pair_shards(_united(_count_pairs(texts, vocabulary), size), vocabulary, total, folder, min_count, discount), "lm-pairs").collect()

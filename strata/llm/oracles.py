@@ -17,9 +17,9 @@ FROM u LEFT JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(pa
 GROUP BY page_id"""
 
 OP2 = r"""
-WITH RECURSIVE sized AS (
+WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS m
+         md5(coalesce(CAST(doc_id AS VARCHAR), text, '')) AS m
   FROM documents
 ),
 src AS (
@@ -36,33 +36,42 @@ tgt AS (
          coalesce(least(cap, (SELECT max(level) FROM lev WHERE level <= cap / weight) * weight), cap) AS target
   FROM lev
 ),
-cum AS (SELECT *, sum(target) OVER (ORDER BY rank) AS upto FROM tgt),
-tot AS (SELECT max(upto) AS total, greatest(1, ceil(max(upto) / greatest(1048576, 4096 * count(*))))::BIGINT AS block FROM cum),
+cuts AS (
+  SELECT *, source_size // blocks AS length, source_size % blocks AS longer, floor(target * 1000)::BIGINT AS share
+  FROM (SELECT *, greatest(ceil(source_size / words::DOUBLE)::BIGINT, 1) AS blocks
+        FROM (SELECT *, greatest((1::BIGINT << (2 * band)) // 4096, 1) AS words
+              FROM (SELECT *, ((length(bin(greatest(floor(target), 1)::BIGINT)) - 1) // 2)::INTEGER AS band FROM tgt)))
+),
 span AS (
-  SELECT rank, floor(coalesce(lag(upto) OVER (ORDER BY rank), 0) / total * 4294967296.0)::BIGINT AS lo,
-         floor(upto / total * 4294967296.0)::BIGINT AS hi
-  FROM cum, tot
+  SELECT rank, band, floor((upto - share)::DOUBLE / total * 4294967296.0)::BIGINT AS lo, floor(upto::DOUBLE / total * 4294967296.0)::BIGINT AS hi,
+         ((total + 1000 * words - 1) // (1000 * words))::BIGINT AS slots
+  FROM (SELECT *, sum(share) OVER (PARTITION BY band ORDER BY rank) AS upto, sum(share) OVER (PARTITION BY band) AS total FROM cuts WHERE share > 0)
 ),
 slot AS (
-  SELECT rank, row_number() OVER (PARTITION BY rank ORDER BY i) - 1 AS k
-  FROM (SELECT i, (i * 2654435769) % 4294967296 AS p FROM range((SELECT ceil(total / block)::BIGINT FROM tot)) r(i)) s
-  JOIN span ON lo <= p AND p < hi
+  SELECT rank, i, slots, row_number() OVER (PARTITION BY rank ORDER BY i) - 1 AS k
+  FROM (SELECT band, any_value(slots) AS slots, unnest(range(any_value(slots))) AS i FROM span GROUP BY band) s JOIN span USING (band, slots)
+  WHERE lo <= (i * 2654435769) % 4294967296 AND (i * 2654435769) % 4294967296 < hi
 ),
 uses AS (
-  SELECT slot.rank, k % ceil(source_size / block::DOUBLE)::BIGINT AS b, count(*) AS n
-  FROM slot JOIN tgt USING (rank), tot WHERE k < 3 * ceil(source_size / block::DOUBLE)::BIGINT GROUP BY ALL
+  SELECT rank, k % blocks AS b, count(*) AS n, min((i + 0.5::DOUBLE) / slots) AS first_at
+  FROM slot JOIN cuts USING (rank) WHERE k < 3 * blocks GROUP BY ALL
 ),
 placed AS (
-  SELECT doc_id, s.source, size, source_size, target, rank,
+  SELECT doc_id, s.source, size, source_size, target, rank, length, longer,
          sum(size) OVER (PARTITION BY rank ORDER BY m, doc_id, size ROWS UNBOUNDED PRECEDING)::BIGINT AS e
-  FROM sized s JOIN tgt t ON s.source IS NOT DISTINCT FROM t.source
+  FROM sized s JOIN cuts c ON s.source IS NOT DISTINCT FROM c.source
+),
+ends AS (
+  SELECT *, CASE WHEN e - size < longer * (length + 1) THEN (e - size) // (length + 1) ELSE longer + (e - size - longer * (length + 1)) // greatest(length, 1) END AS first,
+         CASE WHEN e - 1 < longer * (length + 1) THEN (e - 1) // (length + 1) ELSE longer + (e - 1 - longer * (length + 1)) // greatest(length, 1) END AS last
+  FROM placed WHERE size > 0
 ),
 spread AS (
-  SELECT rank, e, size, b, least(e, (b + 1) * block) - greatest(e - size, b * block) AS words
-  FROM (SELECT rank, e, size, unnest(range((e - size) // block, (e - 1) // block + 1)) AS b FROM placed, tot WHERE size > 0), tot
+  SELECT rank, e, b, least(e, (b + 1) * length + least(b + 1, longer)) - greatest(e - size, b * length + least(b, longer)) AS words
+  FROM (SELECT *, unnest(range(first, last + 1)) AS b FROM ends)
 ),
-took AS (SELECT rank, e, sum(words * coalesce(n, 0))::BIGINT AS taken FROM spread LEFT JOIN uses USING (rank, b) GROUP BY rank, e)
-SELECT doc_id, source, size, source_size, target, coalesce(CASE WHEN size > 0 THEN taken END, 0)::BIGINT AS taken
+took AS (SELECT rank, e, sum(words * coalesce(n, 0))::BIGINT AS taken, min(first_at) AS first_at FROM spread LEFT JOIN uses USING (rank, b) GROUP BY rank, e)
+SELECT doc_id, source, size, source_size, target, coalesce(CASE WHEN size > 0 THEN taken END, 0)::BIGINT AS taken, CASE WHEN size > 0 THEN first_at END AS first_at
 FROM placed LEFT JOIN took USING (rank, e)"""
 
 _WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

@@ -1,0 +1,104 @@
+"""The mix against a plain replay of its draws, and the evenness of its schedule."""
+
+import hashlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.llm import mixing
+from tests.llm.test_operators import DOC
+
+
+def corpus(sizes, per_doc=37):
+    """Documents of each source's words, cut unevenly."""
+    out, i = [], 0
+    for s, n in sizes.items():
+        while n:
+            take = min(n, 1 + (i * 7919) % per_doc)
+            out.append((i, "w " * take, "en", s, 0))
+            n, i = n - take, i + 1
+    return out
+
+
+def plain_taken(docs, targets, step, slots):
+    """Words taken per document by walking the schedule slot by slot."""
+    order = sorted(targets, key=lambda s: (s is None, s or ""))
+    share = {s: int(targets[s] * 1000) for s in order}
+    band = {s: (int(max(targets[s], 1)).bit_length() - 1) // 2 for s in order}
+    streams = {s: [d for d, _ in sorted(((i, hashlib.md5(str(i).encode()).hexdigest()) for i, _, _, x, _ in docs if x == s), key=lambda t: t[1]) for _ in range(len(docs[d][1].split()))] for s in order}
+    taken, first = Counter(), {}
+    for b in set(band.values()):
+        mine = [s for s in order if band[s] == b and share[s]]
+        total, words = sum(share[s] for s in mine), max((1 << 2 * b) // slots, 1)
+        n = -(-total // (1000 * words))
+        edges, acc = [], 0
+        for s in mine:
+            edges.append((int(acc / total * 2**32), int((acc + share[s]) / total * 2**32), s))
+            acc += share[s]
+        k = Counter()
+        for slot in range(n):
+            point = slot * step % 2**32
+            s = next((s for lo, hi, s in edges if lo <= point < hi), None)
+            if s is None:
+                continue
+            size = len(streams[s])
+            blocks = max(-(-size // words), 1)
+            if k[s] < 3 * blocks:
+                j, (length, longer) = k[s] % blocks, divmod(size, blocks)
+                for d in streams[s][j * length + min(j, longer):(j + 1) * length + min(j + 1, longer)]:
+                    taken[d] += 1
+                    first.setdefault(d, (slot + 0.5) / n)
+            k[s] += 1
+    return taken, first
+
+
+@pytest.mark.parametrize("slots", [16, 4096])
+def test_taken_words_are_those_of_the_draws(spark, monkeypatch, slots):
+    monkeypatch.setattr(mixing, "SLOTS_PER_SOURCE", slots)
+    docs = corpus({"a": 900, "b": 1100, "c": 700, "d": 5000, "e": 3})
+    df, seen = spark.createDataFrame(docs, DOC), []
+    for step in (mixing._PHI32, 1, 1640531527):
+        got = mixing.mix(df, slots, step=step).collect()
+        taken, first = plain_taken(docs, {r.source: r.target for r in got}, step, slots)
+        assert {r.doc_id: r.taken for r in got} == {d[0]: taken[d[0]] for d in docs}
+        assert all(r.first_at is None if r.taken == 0 else abs(r.first_at - first[r.doc_id]) < 1e-12 for r in got)
+        seen.append(sorted((r.doc_id, r.taken, r.first_at) for r in got if r.taken))
+    assert seen[0] != seen[1] != seen[2] != seen[0]
+
+
+def test_every_prefix_of_the_schedule_holds_the_target_shares(spark):
+    docs = corpus({"a": 60_000, "b": 70_000, "c": 80_000, "d": 75_000}, per_doc=900)
+    sized = mixing.sizes(spark.createDataFrame(docs, DOC))
+    cuts = mixing.cut(mixing.targets(sized))
+    rows = {r["rank"]: r for r in cuts.collect()}
+    drawn = mixing.draws(cuts, len(rows)).select("rank", "band", "at").collect()
+    bands = Counter()
+    for r in rows.values():
+        bands[r["band"]] += r["target"]
+    slots = Counter(d["band"] for d in drawn)
+    for x in (0.05, 0.1, 0.37, 0.5, 0.9, 1.0):
+        held = Counter(d["rank"] for d in drawn if d["at"] < x)
+        for k, r in rows.items():
+            assert abs(held[k] - x * slots[r["band"]] * r["target"] / bands[r["band"]]) <= 8
+
+
+def test_targets_are_met_at_every_size(spark):
+    sizes = {f"s{n:07d}{x}": n for n in (1, 2, 5, 40, 700, 9_000, 200_000, 1_000_000) for x in "ab"}
+    docs = corpus(sizes, per_doc=5_000)
+    got = mixing.mix(spark.createDataFrame(docs, DOC)).collect()
+    taken, target = Counter(), {}
+    for r in got:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+        assert r.taken <= 3 * r.size
+    for s in sizes:
+        assert abs(taken[s] - target[s]) <= 4 + 0.003 * target[s], (s, taken[s], target[s])
+
+
+def test_rows_without_an_id_are_dealt_by_their_text(spark):
+    docs = [(None, "w " * (1 + i % 9) + str(i), "en", "a", 0) for i in range(300)]
+    df = spark.createDataFrame(docs, DOC)
+    assert mixing.sizes(df).select("__md5").distinct().count() == 300
+    a, b = (sorted((r.size, r.taken) for r in mixing.mix(x).collect()) for x in (df, df.repartition(5).orderBy(F.rand(1))))
+    assert a == b and len(a) == 300
