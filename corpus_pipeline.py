@@ -5,9 +5,10 @@ written to the shared folder and reread as the next stage's ``docs``, so a lost
 executor never costs more than the stage it was in. All stages but the last
 return the columns of ``documents`` for the documents they keep; the last
 returns the mix: doc_id, source, size, source_size, target and taken (words
-drawn, repeats counted; 0 for a document that is not drawn).
+drawn, repeats counted; 0 for a document that is not drawn) and first_at.
 
-Defined cases: a null or letterless text is rejected by the first stage; rows
+Defined cases: a null or letterless text is rejected by the first stage, which
+fills in a null ``lang``; rows
 repeating an id and a text are one document after the second; extra columns
 travel along through the filtering stages.
 """
@@ -15,6 +16,7 @@ travel along through the filtering stages.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,16 +26,32 @@ from strata.llm.common import crc_mod, maybe_in
 from strata.session import scratch_path
 from strata.sinks.writer import stage
 
-# No bound on the score: a short text of one language may score as low as one that mixes several,
-# so only what the operator itself rejects is dropped.
+# Languages whose documents stay; None: every language that was learnt.
+KEPT_LANGUAGES: frozenset[str] | None = None
+# A step's bound is this share of the least that it gives any document whose label it finds again.
+BOUND_SHARE = 0.5
+# The product of both steps has no bound of its own.
 MIN_LANGUAGE_SCORE = 0.0
 
 
-def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose language cannot be told."""
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str, kept: Collection[str] | None = KEPT_LANGUAGES) -> DataFrame:
+    """Drop documents in no language that was learnt (or none of ``kept``); a null ``lang`` becomes the prediction.
+
+    Rejected are texts without a letter, predictions outside ``kept``, and texts
+    for which the family step or the step within the family is less sure than
+    ``BOUND_SHARE`` of the least that it is for any labelled document which it
+    gets right: those bounds are taken over all labelled rows, so none of them falls.
+    """
     model = langid.train(docs.where(crc_mod(F.col("doc_id"), 4) != 2))
-    told = docs.withColumn("__lang", langid.identify(model))
-    return told.where((F.col("__lang.lang") != langid.UNDETERMINED) & (F.col("__lang.score") >= MIN_LANGUAGE_SCORE)).drop("__lang")
+    told = stage(docs.withColumn("__lang", langid.identify(model)), "pipeline-languages")
+    right = told.where(F.col("lang") == F.col("__lang.lang"))
+    least = right.agg(F.min("__lang.family_score").alias("f"), F.min("__lang.language_score").alias("l")).first()
+    sure = (F.col("__lang.family_score") >= BOUND_SHARE * (least["f"] or 0.0)) & (F.col("__lang.language_score") >= BOUND_SHARE * (least["l"] or 0.0))
+    wanted = F.col("__lang.lang") != langid.UNDETERMINED
+    if kept is not None:
+        wanted = wanted & F.col("__lang.lang").isin(*kept)
+    return (told.where(wanted & sure & (F.col("__lang.score") >= MIN_LANGUAGE_SCORE))
+            .withColumn("lang", F.coalesce("lang", "__lang.lang")).select(*docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
