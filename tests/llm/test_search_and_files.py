@@ -187,9 +187,8 @@ def plain_tokens(docs):
     return out
 
 
-@pytest.mark.parametrize("how", [{}, {"bucket_chars": 20_000}, {"bucket_chars": 100_000, "max_shard_ids": 3_000}])
-def test_files_match_direct_encoding(spark, monkeypatch, how):
-    monkeypatch.setattr(repair, "ROWS_PER_RANGE", 10)
+@pytest.mark.parametrize("how", [{}, {"rows_per_bucket": 10}, {"rows_per_bucket": 60, "max_shard_ids": 3_000}])
+def test_files_match_direct_encoding(spark, how):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     got = repair.round_trip(docs, scratch_path(spark, f"rpg-{len(how)}"), **how).collect()
     assert sorted(map(tuple, got)) == plain_tokens([(r.doc_id, r.text) for r in docs.collect()])
