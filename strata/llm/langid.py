@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNDETERMINED = "und"
-PER_LANGUAGE = 1_500
+PER_LANGUAGE = 1_200
 MAX_TEXTS = 40_000
 NEAR = 0.6  # cosine of mean vectors from which an unlisted language joins a family
 BITS = 16
@@ -188,8 +188,10 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     def counted(texts: pd.Series) -> pd.Series:
         return pd.Series([[i.astype("<i4").tobytes(), v.astype("<f4").tobytes()] if len(i) else None for i, v in (_vector(features(t)) for t in texts)])
 
-    sample = sorted((r["lang"], r["r"], r["v"]) for r in ranked.select("lang", "r", counted("text").alias("v")).collect() if r["v"])
-    vectors = [(n, (np.frombuffer(i, "<i4").astype(np.int64), np.frombuffer(v, "<f4").astype(np.float64))) for n, _, (i, v) in sample]
+    # a partition at a time; a feature takes eight bytes, and nothing but the vectors stays
+    sample = [(r["lang"], r["r"], np.frombuffer(r["v"][0], "<i4"), np.frombuffer(r["v"][1], "<f4"))
+              for r in ranked.select("lang", "r", counted("text").alias("v")).toLocalIterator() if r["v"]]
+    vectors = [(n, (i, v)) for n, _, i, v in sorted(sample, key=lambda x: x[:2])]
     family_of = _families(vectors, FAMILIES if families is None else families)
     by_family: dict[str, list[str]] = {}
     for n in sorted(family_of):
