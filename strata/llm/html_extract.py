@@ -2,10 +2,12 @@
 
 A page is cut into blocks at block-level tags. First pass: a block is
 boilerplate if it lies in boilerplate structure (menus, footers, forms,
-elements of which a whole class or id names advertising, comments, notices ...,
-not one that only mentions them, as ``has-sidebar`` or ``related-work``), outside
-the article of a page that marks one, or is mostly link text; it is content if
-it is long and rich in stop words; short or poor blocks stay undecided. Second
+elements, paragraphs, list items and cells of which a whole class or id names
+advertising, comments, notices ..., not one that only mentions them, as
+``has-sidebar`` or ``related-work``), outside the article of a page that marks
+one, or is mostly link text (but for paragraphs of the marked article); it is content if
+it is long and rich in stop words; short or poor blocks stay undecided. An article
+that holds less than a third of the page's long texts is a teaser, as is one that is named so, and marks nothing. Second
 pass: an undecided block takes the label of its nearest decided neighbours in
 the same part of the page; a heading takes the label of what follows it. A page
 without a block rich in the listed stop words is judged by length and link
@@ -23,6 +25,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -42,6 +45,7 @@ STOP_WORDS = frozenset((
 _OPAQUE = "script|style|title|textarea|noscript|template|svg|iframe|select|object|canvas|math|button"
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
+    r"|<(?:svg|math)\b(?:[^>\"'/]++|/(?!>)|\"[^\"]*+\"|'[^']*+')*+/>"
     rf"|<(?P<opaque>{_OPAQUE})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=opaque)\s*>|\Z)"
     r"|<[!?][^>]*>"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -50,26 +54,44 @@ _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _NESTING = frozenset("html body head div section article main nav header footer aside form ul ol dl table figure details fieldset dialog menu blockquote".split())
 _BLOCKS = _NESTING | _HEADINGS | frozenset("p li dt dd tr td th thead tbody tfoot caption figcaption pre hr address summary legend option center".split())
 _BAD_TAGS = frozenset("head nav header footer aside form menu dialog".split())
-_NAMED = re.compile(r"(?:\b(?:class|id|role)\s*=\s*)(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_PARAGRAPHS = frozenset("p pre blockquote".split())
+# An element without an end tag is ended by the next one of these names, up to the enclosing list or table.
+_ENDED_BY = {name: names for names in map(frozenset, (("li",), ("dt", "dd"), ("td", "th"), ("tr", "td", "th"), ("thead", "tbody", "tfoot", "tr", "td", "th"))) for name in names}
+_ENDED_BY.update({name: frozenset(("td", "th")) for name in ("td", "th")}, tr=frozenset(("tr", "td", "th")))
+_SCOPES = frozenset("table ul ol dl menu article main section body".split())
+_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 _BAD_WORDS = frozenset((
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments comentarios cookie cookies consent copyright disqus dialog footer form "
-    "header hidden login masthead menu modal nav navbar navigation newsletter notice notices notification pagination pager popup promo promotion recommended related "
-    "search share sharing sidebar social sponsor sponsored subscribe subscription tags toolbar widget alert complementary contentinfo").split())
+    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs ccpa comment commenter commenters comments comentarios cookie cookies consent copyright disqus dialog footer form "
+    "gdpr header hidden login masthead menu modal nav navbar navigation newsletter notice notices notification pagination pager popup promo promotion recommended related "
+    "replies reply respond search share sharing sidebar social sponsor sponsored subscribe subscription tags toolbar widget alert complementary contentinfo").split())
 # Words that say where or how a named part is laid out, not what it is about.
 _PLAIN_WORDS = frozenset((
     "area article articles bar block bottom box button buttons cell center col column container content desktop entry facebook fixed floating global google group icon icons inner "
-    "item items left link links list main media mini mobile module news outer page panel post posts primary region results right row secondary section signup site slot small sticky "
+    "item items js left link links list main media message messages mini mobile module news outer page panel post posts primary region results right row secondary section signup site slot small sticky "
     "stories sub top twitter unit user web wp wrap wrapper").split())
 _MODIFIERS = frozenset("has have is no non not off on show hide toggle with without".split())
-_BAD_STYLE = re.compile(r"display\s*:\s*none|\bhidden\b(?!\s*=\s*[\"']?until)", re.I)
+_TEASER = re.compile(r"\b(?:teasers?|cards?|previews?|promos?|related|recommended)\b", re.I)
+_HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 CONTENT, BOILERPLATE = True, False
 NAMED, STRUCTURE = 1, 2
 
 
+def _split(word: str) -> list[str]:
+    """A compound of a listed word of boilerplate and another listed word (``commentlist``) as the two."""
+    if word not in _BAD_WORDS and word not in _PLAIN_WORDS:
+        for k in range(2, len(word) - 1):
+            a, b = word[:k], word[k:]
+            if (a in _BAD_WORDS and (b in _PLAIN_WORDS or b in _BAD_WORDS)) or (a in _PLAIN_WORDS and b in _BAD_WORDS):
+                return [a, b]
+    return [word]
+
+
+@lru_cache(maxsize=65_536)
 def _bad_name(name: str) -> bool:
     """A class, id or role all of whose words name boilerplate or its place."""
-    words = [w for w in re.split(r"[^a-z]+", name) if len(w) > 1]
+    spaced = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", name).lower()
+    words = [part for w in re.split(r"[^a-z]+", spaced) if len(w) > 1 for part in _split(w)]
     return not _BAD_WORDS.isdisjoint(words) and all(w in _BAD_WORDS or w in _PLAIN_WORDS for w in words) and _MODIFIERS.isdisjoint(words)
 
 
@@ -77,18 +99,36 @@ def _boilerplate_element(name: str, rest: str, in_article: bool) -> int:
     """0: no, NAMED: by a name alone, STRUCTURE: by its tag or as hidden."""
     if name in _BAD_TAGS and not (in_article and name == "header"):
         return STRUCTURE
-    if not rest or name in ("html", "body", "article", "main"):
+    if not rest or name in ("html", "body", "main") or (name == "article" and not in_article):
         return 0
-    if _BAD_STYLE.search(_NAMED.sub(" ", rest)):
+    attributes: dict[str, str] = {}
+    for key, a, b, c in _ATTRIBUTE.findall(rest):
+        attributes.setdefault(key.lower(), a or b or c)
+    if (attributes.get("hidden", "until-found").lower() != "until-found" or attributes.get("aria-hidden", "").lower() == "true"
+            or _HIDING.search(attributes.get("style", ""))):
         return STRUCTURE
-    return NAMED if any(_bad_name(x) for a, b, c in _NAMED.findall(rest) for x in (a or b or c).lower().split()) else 0
+    return NAMED if any(_bad_name(x) for key in ("class", "id", "role") for x in attributes.get(key, "").split()) else 0
 
 
 class _Block:
-    __slots__ = ("text", "linked", "bad", "region", "heading")
+    __slots__ = ("text", "linked", "bad", "region", "heading", "paragraph")
+
+    def __init__(self, text: str, linked: int, bad: int, region: bool, heading: bool, paragraph: bool):
+        self.text, self.linked, self.bad, self.region, self.heading, self.paragraph = text, linked, bad, region, heading, paragraph
+
 
-    def __init__(self, text: str, linked: int, bad: int, region: bool, heading: bool):
-        self.text, self.linked, self.bad, self.region, self.heading = text, linked, bad, region, heading
+def _end_implied(stack: list[tuple[str, int, bool]], name: str) -> None:
+    """Close what an opening tag ends without an end tag of its own: paragraphs, headings, items, cells, rows."""
+    while stack and (stack[-1][0] == "p" or (name in _HEADINGS and stack[-1][0] in _HEADINGS)):
+        stack.pop()
+    ended = _ENDED_BY.get(name)
+    if ended:
+        reach, k = None, len(stack) - 1
+        while k >= 0 and stack[k][0] not in _SCOPES:
+            reach = k if stack[k][0] in ended else reach
+            k -= 1
+        if reach is not None:
+            del stack[reach:]
 
 
 def blocks(page: str) -> tuple[list[_Block], bool]:
@@ -103,8 +143,8 @@ def blocks(page: str) -> tuple[list[_Block], bool]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                _, bad, region = stack[-1] if stack else ("", 0, False)
-                out.append(_Block(text, state["linked"], bad, region, state["heading"]))
+                inner, bad, region = stack[-1] if stack else ("", 0, False)
+                out.append(_Block(text, state["linked"], bad, region, state["heading"], inner in _PARAGRAPHS))
             parts.clear()
         state["linked"] = 0
 
@@ -132,14 +172,17 @@ def blocks(page: str) -> tuple[list[_Block], bool]:
             if m["end"] or m["end2"]:
                 state["heading"] = False
                 for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == name:
+                    if stack[k][0] == name or (name in _HEADINGS and stack[k][0] in _HEADINGS):
                         del stack[k:]
                         break
+                    if name not in _NESTING and stack[k][0] in _SCOPES:
+                        break
             else:
                 state["heading"] = name in _HEADINGS
                 rest = m["rest"] or m["rest2"] or ""
-                if name in _NESTING and not rest.endswith("/"):
-                    article = name in ("article", "main")
+                _end_implied(stack, name)
+                if name != "hr" and not (name in _NESTING and rest.endswith("/")):
+                    article = name == "main" or (name == "article" and not _TEASER.search(rest))
                     if article or name == "body":  # whatever was left open before does not reach into it
                         stack = [s for s in stack if not s[1]]
                     _, bad, region = stack[-1] if stack else ("", 0, False)
@@ -154,7 +197,9 @@ def _first_pass(b: _Block, marked: bool) -> bool | None:
     if b.bad or (marked and not b.region):
         return BOILERPLATE
     if b.linked > LINKED * len(b.text):
-        return BOILERPLATE
+        if not (marked and b.paragraph):
+            return BOILERPLATE
+        return CONTENT if len(b.text) >= LONG else None
     if len(b.text) < LONG:
         return None
     words = [w.lower() for w in _WORD.findall(b.text)]
@@ -207,6 +252,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     found, marked = blocks(page)
+    marked = marked and _marks(found)
     kept = _kept(found, marked)
     if not kept and any(b.bad == NAMED for b in found):
         for b in found:
@@ -216,6 +262,18 @@ def main_text(page: str | None) -> str:
     return "\n".join(kept)
 
 
+def _marks(found: list[_Block]) -> bool:
+    """Whether what is marked as article is the page's text: it holds at least a third of the long texts."""
+    inside = outside = 0
+    for b in found:
+        if not b.bad and _long_text(b):
+            if b.region:
+                inside += len(b.text)
+            elif _first_pass(b, False) == CONTENT:
+                outside += len(b.text)
+    return 2 * inside >= outside
+
+
 def _kept(found: list[_Block], marked: bool) -> list[str]:
     labels = _by_length(found, [_first_pass(b, marked) for b in found])
     return [b.text for b, keep in zip(found, _second_pass(found, labels, marked), strict=True) if keep]

@@ -252,6 +252,49 @@ def test_html_a_text_in_a_named_wrapper_of_an_empty_page_is_kept():
     assert html_extract.main_text(f"<div style='display:none' class=ad><p>{PROSE}</p></div>") == ""
 
 
+FOREIGN = "And this is another long text that is not of the article but of the page around it, and it has to go with the rest of it."
+
+
+@pytest.mark.parametrize("part", [
+    "<p class='ad'>{}</p>", "<p hidden>{}</p>", "<ul><li class='comment'>{}<li class=comment>{}</ul>", "<table><tr><td class='sidebar'>{}</td></tr></table>", "<ol class='commentlist'><li>{}</li></ol>",
+    "<div class='commentSection'><p>{}</p></div>", "<div class='replies'><p>{}</p></div>", "<div id='gdpr-cookie-message'><p>{}</p></div>", "<h2 class=newsletter>{}</h2>",
+    "<div style='visibility: hidden'><p>{}</p></div>", "<div aria-hidden=true>{}</div>", "<dl><dt class=ad>{}<dd class=ad>{}</dl>", "<article class='comment'><p>{}</p></article>"])
+def test_html_boilerplate_in_any_element(part):
+    part = part.replace("{}", FOREIGN)
+    for page in (f"<div><p>{PROSE}</p>{part}<p>{PROSE}</p></div>", f"<article><p>{PROSE}</p>{part}<p>{PROSE}</p></article>"):
+        if "<article class" not in part or "<div><p>" not in page[:8]:
+            assert html_extract.main_text(page) == f"{PROSE}\n{PROSE}"
+
+
+def test_html_named_elements_without_end_tags_end_with_the_next():
+    assert html_extract.main_text(f"<p class=ad>{FOREIGN}<p>{PROSE}") == PROSE
+    assert html_extract.main_text(f"<ul><li class=ad>{FOREIGN}<li>{PROSE}</ul>") == PROSE
+    assert html_extract.main_text(f"<table><tr><td class=sidebar>{FOREIGN}<td>{PROSE}<tr><td>{PROSE}</table>") == f"{PROSE}\n{PROSE}"
+    assert html_extract.main_text(f"<ul><li class=menu><ul><li>{FOREIGN}</li></ul></li><li>{PROSE}</li></ul>") == PROSE
+
+
+@pytest.mark.parametrize("attributes", ["style='overflow:hidden'", "aria-hidden=false", "data-state='hidden'", "hidden='until-found'"])
+def test_html_shown_elements_stay(attributes):
+    assert html_extract.main_text(f"<div {attributes}><p>{PROSE}</p></div>") == PROSE
+
+
+def test_html_self_closing_icons_swallow_nothing():
+    for icon in ("<svg class=icon />", "<svg class='a/>b' />", "<svg/>", "<svg><path d='M1/2' /></svg>", "<math><mi/></math>"):
+        assert html_extract.main_text(f"{icon}<p>{PROSE}</p>") == PROSE
+
+
+def test_html_a_teaser_marks_no_article():
+    for teaser in (f"<article><p>{FOREIGN}</p></article>", "<article><p>Read on.</p></article>", f"<article class=teaser><p>{FOREIGN}</p></article>"):
+        got = html_extract.main_text(f"<div><h1>Title</h1><p>{PROSE}</p><p>{PROSE}</p><p>{PROSE}</p></div>{teaser}")
+        assert got.startswith(f"Title\n{PROSE}\n{PROSE}\n{PROSE}")
+    assert html_extract.main_text(f"<article><p>{POLISH}</p></article><div><p>{FOREIGN}</p></div>") == POLISH
+
+
+def test_html_paragraphs_of_links_stay_in_a_marked_article():
+    linked = f"<p><a href=x>{PROSE}</a></p>"
+    assert html_extract.main_text(f"<article>{linked}<p>Short.</p>{linked}<p>{PROSE}</p></article>") == f"{PROSE}\nShort.\n{PROSE}\n{PROSE}"
+
+
 def test_html_of_odd_tables(spark):
     pages = spark.createDataFrame([(1, None, None), (None, "u", "<p>x</p>"), (1, None, None), (2, "u", "<p>" + "the word of it " * 20_000)], "page_id long, url string, html string")
     got = html_extract.extract(pages.withColumn("text", F.lit("clash"))).collect()
