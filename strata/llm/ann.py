@@ -4,8 +4,9 @@ Vectors are lengthened by one coordinate so that the largest inner product is
 the smallest distance, and projected on ``projections`` random directions
 (orthonormal by groups). A block of rows holds one sorted array per direction.
 Around a query's own projections windows open and widen (virtual rehashing:
-each step widens all of them by ``growth``); a vector that falls into at least
-``threshold`` of the windows is a candidate. Widening stops when a share
+each step widens all of them by ``GROWTH``, and walks the sorted arrays on from
+where the last step ended, so that a row is counted once a window that it enters);
+a vector that falls into at least ``threshold`` of the windows is a candidate. Widening stops when a share
 ``verified`` of the block are candidates, and those are compared exactly, in
 double precision, on the original vectors.
 
@@ -29,12 +30,13 @@ from pyspark.sql import functions as F
 from strata.sinks.writer import stage
 
 PROJECTIONS = 64
-THRESHOLD = 0.6
+THRESHOLD = 0.62
 VERIFIED = 0.12
-GROWTH = 1.2
+GROWTH = 1.25
 ROWS_PER_BLOCK = 16_384
 # Rows are copied once for each block of queries, queries once for each block of rows.
 QUERIES_PER_BLOCK = 8_192
+QUERIES_AT_ONCE = 128  # whose counts (four bytes a row of the block) are held together
 MAX_TASKS = 100_000  # beyond it a task takes several pairs of blocks, one after the other
 
 
@@ -55,35 +57,39 @@ class Block:
         p = np.concatenate([x, spare[:, None]], 1) @ self.a
         order = np.argsort(p, axis=0)
         self.sorted = np.take_along_axis(p, order, 0).T.copy()
-        # where each row stands in each sorted array, in 256 steps: a window of an array is a range of steps
+        self.order = order.T.copy()  # the row at each place of each sorted array
         n = len(ids)
-        self.step = np.empty(p.shape[::-1], np.uint8)
-        np.put_along_axis(self.step, order.T, (np.arange(n) * 256 // n).astype(np.uint8)[None, :], 1)
-        # the first windows hold some 30 % of the rows around the middle of a direction
-        a, b = (self.sorted[:, min(n - 1, int(q * n))] for q in (0.35, 0.65))
+        # the first windows hold some half of the rows around the middle of a direction
+        a, b = (self.sorted[:, min(n - 1, int(q * n))] for q in (0.25, 0.75))
         self.start = float(np.median(b - a)) / 2 + 1e-9
 
     def candidates(self, queries: np.ndarray, threshold: int, enough: int) -> list[np.ndarray]:
         """Per query the rows in at least ``threshold`` of its windows, widened until they are ``enough``."""
-        n, left = len(self.ids), np.arange(len(queries))
-        out = [np.arange(n)] * len(queries)
+        n = len(self.ids)
         if n <= enough:
-            return out
+            return [np.arange(n)] * len(queries)
         long = self.top / np.sqrt((queries * queries).sum(1))
         at = np.concatenate([queries * long[:, None], np.zeros((len(queries), 1))], 1) @ self.a
-        width = self.start
+        return [c for k in range(0, len(at), QUERIES_AT_ONCE) for c in self._walk(at[k:k + QUERIES_AT_ONCE], threshold, enough)]
+
+    def _walk(self, at: np.ndarray, threshold: int, enough: int) -> list[np.ndarray]:
+        """Widen the windows around ``at``; only rows that newly enter one are looked at and counted."""
+        n, m, left, width = len(self.ids), len(self.order), np.arange(len(at)), self.start
+        out: list[np.ndarray] = [left[:0]] * len(at)
+        counts = np.zeros((len(at), n), np.int32)
+        first = np.stack([s.searchsorted(v) for s, v in zip(self.sorted, at.T, strict=True)], 1)
+        last = first.copy()
         while len(left):
-            first = np.stack([s.searchsorted(v) for s, v in zip(self.sorted, (at[left] - width).T, strict=True)], 1)
-            last = np.stack([s.searchsorted(v) for s, v in zip(self.sorted, (at[left] + width).T, strict=True)], 1)
-            low = (np.minimum(first, n - 1) * 256 // n).astype(np.uint8)
-            span = (np.maximum(last - 1, np.minimum(first, n - 1)) * 256 // n).astype(np.uint8) - low
+            lower = np.stack([s.searchsorted(v) for s, v in zip(self.sorted, (at[left] - width).T, strict=True)], 1)
+            upper = np.stack([s.searchsorted(v, "right") for s, v in zip(self.sorted, (at[left] + width).T, strict=True)], 1)
             open_ = []
             for i, q in enumerate(left):
-                # one unsigned comparison tells whether a step lies in its window; bytes are summed fastest
-                inside = ((self.step - low[i][:, None]) <= span[i][:, None]).view(np.uint8)
-                counts = np.add.reduce(inside, 0, dtype=np.uint8 if len(inside) < 256 else np.uint16)
-                found = np.flatnonzero(counts >= threshold)
-                if len(found) >= enough or (last[i] - first[i]).min() == n:
+                entered = [self.order[j, x:y] for j in range(m) for x, y in ((lower[i, j], first[q, j]), (last[q, j], upper[i, j])) if x < y]
+                if entered:
+                    counts[q] += np.bincount(np.concatenate(entered), minlength=n).astype(np.int32)
+                first[q], last[q] = np.minimum(lower[i], first[q]), np.maximum(upper[i], last[q])
+                found = np.flatnonzero(counts[q] >= threshold)
+                if len(found) >= enough or (last[q] - first[q]).min() == n:
                     out[q] = found
                 else:
                     open_.append(q)
