@@ -319,6 +319,24 @@ SELECT 'orders_' || ym || '.parquet' AS file_name, 'landing/year_month=' || ym A
        'bronze/year=' || y || '/month=' || mo || '/' AS destination, status, 'overwrite' AS load_type, 'None' AS error,
        'bronze' AS layer, latest
 FROM m, (VALUES ('UPLOADING'), ('SUCCESS')) s(status)""",
+    "ingest_rejects": """SELECT o_orderkey, CASE WHEN bad THEN NULL ELSE CAST(o_custkey AS BIGINT) END AS o_custkey,
+       CASE WHEN bad THEN NULL ELSE o_totalprice END AS o_totalprice,
+       CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+       CASE WHEN bad THEN concat_ws(';', CASE WHEN o_orderkey % 89 = 0 THEN 'o_custkey=x' END,
+                                    CASE WHEN o_orderkey % 97 = 0 THEN 'o_totalprice=n/a ' || o_orderkey END) END AS lost,
+       CASE WHEN bad THEN strftime(o_orderdate, '%Y-%m') END AS source_month
+FROM (SELECT *, o_orderkey % 89 = 0 OR o_orderkey % 97 = 0 AS bad FROM orders)""",
+    "ingest_counts": """WITH m AS (
+  SELECT 'orders_' || strftime(o_orderdate, '%Y-%m') || '.parquet' AS item, COUNT(*) AS n,
+         COUNT(*) FILTER (o_orderkey % 89 = 0 OR o_orderkey % 97 = 0) AS bad
+  FROM orders GROUP BY 1
+)
+SELECT item, metric, CAST(CASE metric WHEN 'rows_in' THEN n WHEN 'rejected' THEN bad ELSE n - bad END AS BIGINT) AS rows
+FROM m, (VALUES ('rows_in'), ('rows_out'), ('rejected')) t(metric)
+UNION ALL
+SELECT c.item, 'cast_failed', CAST(CASE c.item WHEN 'o_custkey' THEN a.custkey WHEN 'o_totalprice' THEN a.price ELSE 0 END AS BIGINT)
+FROM (VALUES ('o_orderkey'), ('o_custkey'), ('o_orderstatus'), ('o_totalprice'), ('o_orderdate'), ('o_orderpriority')) c(item),
+     (SELECT COUNT(*) FILTER (o_orderkey % 89 = 0) AS custkey, COUNT(*) FILTER (o_orderkey % 97 = 0) AS price FROM orders) a""",
     "leaf_scan": "SELECT * FROM orders WHERE o_orderstatus = 'F'",
     "full_refresh_shrinks": f"{_STAR}\nSELECT * FROM fact WHERE partition_day < DATE '2000-01-01'",
     "upsert_moves_partition": """SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,

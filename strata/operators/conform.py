@@ -20,6 +20,7 @@ def conform(
     schema: Mapping[str, DataType] | StructType,
     strict: bool = True,
     add_missing: bool = True,
+    rejects: str | None = None,
 ) -> DataFrame:
     """Cast each declared column that exists; pass other columns through.
 
@@ -28,13 +29,15 @@ def conform(
     lacks are added as typed NULLs when ``add_missing`` is set, so a later
     fixed projection does not fail on an older file. ``strict`` keeps the
     ANSI cast (a bad value fails the job); otherwise ``try_cast`` turns it
-    into NULL (count those with :func:`cast_failures`). One ``select``, so
+    into NULL (count those with :func:`cast_failures`). ``rejects`` names a column
+    to add: the row's values that the lenient cast loses, as an array of
+    (column, value as text), empty for a row that lost none. One ``select``, so
     the whole conform is a single Project inside whole-stage codegen.
     """
     declared = _as_mapping(schema)
     by_lower = {name.lower(): name for name in declared}
     present: set[str] = set()
-    out = []
+    out, lost = [], []
     for c in df.columns:
         canon = by_lower.get(c.lower())
         if canon is None or canon in present:
@@ -45,10 +48,16 @@ def conform(
         typ = declared[canon]
         cast = src.cast(typ) if strict else src.try_cast(typ)
         out.append(cast.alias(canon))
+        lost.append(F.when(src.isNotNull() & src.try_cast(typ).isNull(), F.struct(F.lit(canon).alias("column"), src.cast("string").alias("value"))))
     if add_missing:
         for name, typ in declared.items():
             if name not in present:
                 out.append(F.lit(None).cast(typ).alias(name))
+    if rejects is not None:
+        if strict:
+            raise ValueError("conform: a strict cast rejects nothing")
+        none = F.array().cast("array<struct<column:string,value:string>>")
+        out.append((F.array_compact(F.array(*lost)) if lost else none).alias(rejects))
     return df.select(*out)
 
 

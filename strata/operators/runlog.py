@@ -68,12 +68,14 @@ def append_log(rows: DataFrame, log_path: str) -> None:
     """Append log rows, partitioned by layer (one table, one folder a layer).
 
     Rows are gathered by layer; AQE makes one file of a few rows and splits a
-    layer that is large.
+    layer that is large. The files are written beside the log and then renamed
+    into it: appends of several drivers do not share the committer's folder,
+    which the first one to end would remove.
     """
-    from strata.sinks.writer import recover
+    from strata.sinks.writer import append_files, recover
 
     recover(rows.sparkSession, log_path)
-    rows.hint("rebalance", "layer").write.mode("append").partitionBy("layer").parquet(log_path)
+    append_files(rows.hint("rebalance", "layer"), log_path, ["layer"])
 
 
 def record(spark: SparkSession, log_path: str, **fields) -> None:

@@ -386,6 +386,39 @@ def ingest_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("file_name", plain("source", landing, "landing"), plain("destination", target, "bronze"), "status", "load_type", "error", "layer", "latest")
 
 
+def _ingest_with_rejects(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    """Bronze, rejects and counts after an ingest of orders of which some land with a price or a customer that is no number."""
+    o = _t(spark, sf_dir, "orders")
+    landing, names = _scratch(spark, "landing"), ("bronze", "rejects", "counts", "ingest-log", "claims")
+    target, rejects, counts, log, claims = (_scratch(spark, n) for n in names)
+    spoiled = o.select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 89 == 0, F.lit("x")).otherwise(F.col("o_custkey").cast("string")).alias("o_custkey"), "o_orderstatus",
+        F.when(F.col("o_orderkey") % 97 == 0, F.concat(F.lit("n/a "), "o_orderkey")).otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
+        "o_orderdate", "o_orderpriority", F.date_format("o_orderdate", "yyyy-MM").alias("year_month"))
+    write(spoiled, landing, "overwrite", "year_month")
+    months = month_range_of(o.agg(F.min("o_orderdate").alias("start"), F.add_months(F.max("o_orderdate"), 1).alias("end")))
+    ingest(spark, months, landing, target, ORDERS_SCHEMA, log, "orders", rejects=rejects, counts=counts, claims=claims)
+    return target, rejects, counts
+
+
+def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that conform and rows set aside with their lost values and their file; together the rows landed."""
+    target, rejects, _ = _ingest_with_rejects(spark, sf_dir)
+    lost = F.array_join(F.array_sort(F.transform("rejected", lambda x: F.concat(x["column"], F.lit("="), x["value"]))), ";")
+    kept = spark.read.parquet(target).select("o_orderkey", "o_custkey", "o_totalprice", "year", "month", F.lit(None).cast("string").alias("lost"),
+                                             F.lit(None).cast("string").alias("source_month"))
+    bad = spark.read.parquet(rejects).select(
+        F.get_json_object("landed_row", "$.o_orderkey").cast("long").alias("o_orderkey"), F.lit(None).cast("long").alias("o_custkey"),
+        F.lit(None).cast("double").alias("o_totalprice"), "year", "month", lost.alias("lost"),
+        F.regexp_extract("source_file", "year_month=([0-9-]+)/", 1).alias("source_month"))
+    return kept.unionByName(bad)
+
+
+def ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in, out and rejected by month, failed casts by column, as the writing pass counted them."""
+    return spark.read.parquet(_ingest_with_rejects(spark, sf_dir)[2]).drop("load_id")
+
+
 def leaf_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One landed folder read by itself has its own columns only, without those of the folders above."""
     o = _t(spark, sf_dir, "orders").withColumn("status", F.col("o_orderstatus"))
@@ -589,6 +622,8 @@ QUERIES = {
     "bronze_ingest": bronze_ingest,
     "stream_ingest": stream_ingest,
     "ingest_log": ingest_log,
+    "ingest_rejects": ingest_rejects,
+    "ingest_counts": ingest_counts,
     "leaf_scan": leaf_scan,
     "full_refresh_shrinks": full_refresh_shrinks,
     "upsert_moves_partition": upsert_moves_partition,

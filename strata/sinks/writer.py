@@ -109,6 +109,22 @@ def _replace(df: DataFrame, path: str, parts: list[str], fmt: str, overwrite: st
     _swap(spark, Swap(staged, parts, fmt, overwrite, list(remove)), path, on_step)
 
 
+def append_files(df: DataFrame, path: str, parts: Sequence[str] = ()) -> None:
+    """Append a few files to the table at ``path``, safely beside appends of other drivers.
+
+    A writer that dies on the way leaves what it had already renamed, so rows
+    must be such that a part of them, or the same ones again, do no harm.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    staged = f"{_beside(path, 'stage')}-{uuid.uuid4().hex}"
+    _save(df, staged, "overwrite", list(parts), "parquet", "static", cluster=False)
+    for folder in _leaves(spark, staged, len(parts)):
+        for name in children(spark, f"{staged}/{folder}"):
+            inside = f"{folder}/{name}" if folder else name
+            move(spark, f"{staged}/{inside}", f"{path}/{inside}")
+    delete(spark, staged)
+
+
 def _swap(spark: SparkSession, new: Swap, path: str, on_step: Callable[[str], None] = _NO_STEP) -> None:
     """Switch the pointer to the staged version, then move it in; the pointer stands until that is done."""
     write_text(spark, _beside(path, "swap"), json.dumps(asdict(new)))
@@ -210,7 +226,7 @@ def leftovers(spark: SparkSession, path: str) -> list[str]:
 
 
 def replace_partitions(df: DataFrame, path: str, partition_cols: str | Sequence[str], fmt: str = "parquet",
-                       emptied: Sequence[str] = (), on_step: Callable[[str], None] = _NO_STEP) -> None:
+                       emptied: Sequence[str] = (), on_step: Callable[[str], None] = _NO_STEP, cluster: bool = True) -> None:
     """Overwrite only the partitions present in ``df`` (re-running a month is idempotent).
 
     ``emptied`` names partition folders (``day=2024-01-01``) that hold no row any
@@ -218,7 +234,7 @@ def replace_partitions(df: DataFrame, path: str, partition_cols: str | Sequence[
     """
     parts, spark = _cols(partition_cols), df.sparkSession
     staged = f"{_beside(path, 'stage')}-{uuid.uuid4().hex}"
-    _save(df, staged, "overwrite", parts, fmt, "static")
+    _save(df, staged, "overwrite", parts, fmt, "static", cluster)
     on_step("staged")
     recover(spark, path)
     there = set(_leaves(spark, staged, len(parts))) if emptied else set()

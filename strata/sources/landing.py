@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
 from strata.operators.conform import conform
@@ -35,8 +36,14 @@ def read_conformed(
     fmt: str = "parquet",
     strict: bool = True,
     base_path: str | None = None,
+    rejects: str | None = None,
+    provenance: tuple[str, str] | None = None,
 ) -> DataFrame:
-    """Read ``paths`` (files or folders), conform each schema group, union by name."""
+    """Read ``paths`` (files or folders), conform each schema group, union by name.
+
+    ``rejects`` as in :func:`conform`; ``provenance`` names two columns to add:
+    the file that a row came from, and the landed row itself as JSON.
+    """
     paths = list(paths)
     if not paths:
         raise ValueError("read_conformed: no paths")
@@ -46,7 +53,15 @@ def read_conformed(
     groups = group_by_schema(spark, paths) if fmt == "parquet" else [paths]
     if not groups:  # folders without a data file
         raise FileNotFoundError(f"no {fmt} file under {paths[0]}" + (f" and {len(paths) - 1} others" if len(paths) > 1 else ""))
-    frames = [conform(reader.load(group), schema, strict=strict) for group in groups]
+
+    def landed(group: list[str]) -> DataFrame:
+        df = reader.load(group)
+        if provenance is None:
+            return df
+        file, row = provenance
+        return df.select("*", F.col("_metadata.file_path").alias(file), F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias(row))
+
+    frames = [conform(landed(group), schema, strict=strict, rejects=rejects) for group in groups]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)

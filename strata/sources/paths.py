@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -90,3 +91,27 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     finally:
         out.close()
     move(spark, beside, path)
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small file unless there is one; whether it was made. Of several contenders one makes it."""
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p.getParent())
+    if fs.getScheme() == "file":  # Hadoop's local file system looks first and creates later
+        try:
+            with open(p.toUri().getPath(), "x", encoding="utf-8") as out:
+                out.write(text)
+        except FileExistsError:
+            return False
+        return True
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError as e:
+        if fs.exists(p):
+            return False
+        raise e
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True

@@ -2,12 +2,13 @@
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType
 
-from strata.operators import runlog
+from strata.operators import claims, runlog
 from strata.operators.dimensions import build_dimension, extend_dimension
 from strata.operators.lookup import Lookup, lookup_keys
 from strata.plans.dims import DimensionSpec, build_all
@@ -128,6 +129,87 @@ def test_missing_and_bad_months_fail_alone(spark, tmp_dir):
     assert ingest(spark, *args) == ["2024-02"]  # failed months stay pending
 
 
+def test_rejected_rows_are_set_aside_and_counted_by_the_writing_pass(spark, tmp_dir):
+    landing, target, rejects, counts = (f"{tmp_dir}/{n}" for n in ("landing", "bronze", "rejects", "counts"))
+    land = lambda ym, data, types: spark.createDataFrame(data, types).write.mode("overwrite").parquet(f"{landing}/year_month={ym}")
+    land("2024-01", [(1, "1.5"), (2, "bad"), (3, None), (None, "worse")], "ID long, fare string")
+    land("2024-02", [(4, 2.5)], "id int, fare double")
+    land("2024-03", [(5, "no")], "id long, fare string")
+    months, schema = month_range(spark, 2024, 1, 2024, 4), {"id": LongType(), "fare": DoubleType(), "tip": DoubleType()}
+    how = dict(rejects=rejects, counts=counts)
+    assert ingest(spark, months, landing, target, schema, f"{tmp_dir}/log", "t", **how) == ["2024-01", "2024-02", "2024-03"]
+    assert rows(spark.read.parquet(target), "id", "fare", "tip", "month") == [(1, 1.5, None, 1), (3, None, None, 1), (4, 2.5, None, 2)]
+    assert set(spark.read.parquet(target).columns) == {"id", "fare", "tip", "year", "month"}
+    bad = spark.read.parquet(rejects).orderBy("month", "landed_row").collect()
+    assert [([tuple(x) for x in r.rejected], r.month) for r in bad] == [([("fare", "bad")], 1), ([("fare", "worse")], 1), ([("fare", "no")], 3)]
+    assert all(f"year_month=2024-0{r.month}/" in r.source_file for r in bad)
+    assert '"ID":2' in bad[0].landed_row and '"ID":null' in bad[1].landed_row
+    got = {(r.item, r.metric): r.rows for r in spark.read.parquet(counts).collect()}
+    assert [got["t_2024-01.parquet", m] for m in ("rows_in", "rows_out", "rejected")] == [4, 2, 2]
+    assert [got["t_2024-03.parquet", m] for m in ("rows_in", "rows_out", "rejected")] == [1, 0, 1]
+    assert (got["fare", "cast_failed"], got["id", "cast_failed"], got["tip", "cast_failed"]) == (3, 0, 0)
+    # mended and loaded again: neither old rejects nor old rows stay
+    land("2024-01", [(1, "1.5"), (2, "2.0")], "ID long, fare string")
+    land("2024-03", [(5, "no"), (6, "no")], "id long, fare string")
+    assert len(ingest(spark, months, landing, target, schema, f"{tmp_dir}/log2", "t", **how)) == 3
+    assert rows(spark.read.parquet(target), "id") == [(1,), (2,), (4,)]
+    assert rows(spark.read.parquet(rejects), "month") == [(3,), (3,)]
+
+
+def test_counts_need_no_further_scan(spark, tmp_dir):
+    """The landed rows are read once: rows read by an ingest that counts are those of one that does not."""
+    seen = {}
+    spark.range(1000).selectExpr("id", "cast(id AS string) AS fare").write.parquet(f"{tmp_dir}/landing/year_month=2024-01")
+    for name, how in (("plain", {}), ("counted", dict(counts=f"{tmp_dir}/counts", rejects=f"{tmp_dir}/rejects"))):
+        group = f"{name}-{tmp_dir}"
+        spark.sparkContext.setJobGroup(group, name)
+        ingest(spark, month_range(spark, 2024, 1, 2024, 2), f"{tmp_dir}/landing", f"{tmp_dir}/{name}", {"id": LongType(), "fare": DoubleType()}, f"{tmp_dir}/log-{name}", "t", **how)
+        seen[name] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setJobGroup("none", "none")
+    assert seen["counted"] <= seen["plain"] + 2  # the append of the counts; the rebalance reports its sizes as before
+    assert not os.path.exists(f"{tmp_dir}/rejects")
+
+
+def test_claims_go_to_one_driver_and_pass_on_when_they_end(spark, tmp_dir):
+    from concurrent.futures import ThreadPoolExecutor
+
+    folder, names = f"{tmp_dir}/claims", [f"m{k}" for k in range(20)]
+    with ThreadPoolExecutor(4) as pool:
+        taken = list(pool.map(lambda _: claims.take(spark, folder, names, 60, now=1000.0), range(4)))
+    assert sorted(c.name for t in taken for c in t) == sorted(names)  # each month to exactly one
+    assert claims.take(spark, folder, names, 60, now=1059.0) == []
+    first = [c for t in taken for c in t]
+    with ThreadPoolExecutor(4) as pool:
+        later = [c for t in pool.map(lambda _: claims.take(spark, folder, names, 60, now=1061.0), range(4)) for c in t]
+    assert sorted(c.name for c in later) == sorted(names) and all(c.generation == 2 for c in later)
+    assert sorted(claims.lost(spark, folder, first, now=1030.0)) == sorted(names)
+    claims.release(spark, folder, first)  # a late driver takes nothing from its successor
+    assert claims.lost(spark, folder, later, now=1062.0) == [] and claims.take(spark, folder, names, 60, now=1062.0) == []
+    claims.release(spark, folder, later)
+    assert os.listdir(folder) == [] or all(n.startswith(".") for n in os.listdir(folder))
+
+
+def test_two_drivers_share_the_months(spark, tmp_dir):
+    from concurrent.futures import ThreadPoolExecutor
+
+    for m in range(1, 5):
+        spark.createDataFrame([(m,)], "id long").write.parquet(f"{tmp_dir}/landing/year_month=2024-0{m}")
+    args = (month_range(spark, 2024, 1, 2024, 5), f"{tmp_dir}/landing", f"{tmp_dir}/bronze", {"id": LongType()}, f"{tmp_dir}/log", "t")
+    with ThreadPoolExecutor(2) as pool:
+        loaded = [ym for done in pool.map(lambda _: ingest(spark, *args, claims=f"{tmp_dir}/claims"), range(2)) for ym in done]
+    assert sorted(loaded) == ["2024-01", "2024-02", "2024-03", "2024-04"]
+    assert rows(spark.read.parquet(f"{tmp_dir}/bronze"), "id") == [(1,), (2,), (3,), (4,)]
+
+
+def test_a_load_whose_claim_ran_out_replaces_nothing(spark, tmp_dir):
+    spark.createDataFrame([(1,)], "id long").write.parquet(f"{tmp_dir}/landing/year_month=2024-01")
+    args = (month_range(spark, 2024, 1, 2024, 2), f"{tmp_dir}/landing", f"{tmp_dir}/bronze", {"id": LongType()}, f"{tmp_dir}/log", "t")
+    with pytest.raises(claims.ClaimLost):
+        ingest(spark, *args, claims=f"{tmp_dir}/claims", claim_seconds=0.01)
+    assert not os.path.exists(f"{tmp_dir}/bronze")
+    assert ingest(spark, *args, claims=f"{tmp_dir}/claims") == ["2024-01"]
+
+
 def test_partition_values_are_unescaped_and_null(spark, tmp_dir):
     df = spark.createDataFrame([(1, "a b:c"), (2, None), (3, "x+y"), (4, "2024-01-01")], "id int, p string")
     df.write.partitionBy("p").parquet(tmp_dir)
