@@ -12,6 +12,7 @@ from strata.operators.conform import cast_failures, conform
 from strata.operators.dimensions import build_dimension, date_dimension, duplicate_keys, extend_dimension
 from strata.operators.filters import recent, valid_dates
 from strata.operators.identity import dedup, with_row_hash, with_source_file
+from strata.operators import keys
 from strata.operators.keys import dense_key
 from strata.sources.months import month_range
 
@@ -125,6 +126,39 @@ def test_dense_key_buckets_equal_global_row_number(spark, dtype):
     assert rows(got, "k", "sk") == rows(want, "k", "sk")
 
 
+@pytest.mark.parametrize("buckets", [2, 65])
+@pytest.mark.parametrize("key", ["double(k) / 3", "cast(k as decimal(20, 3))", "to_timestamp_ntz(timestamp_seconds(k))", "concat_ws(',', 'a', k)"])
+def test_dense_key_agrees_at_any_number_of_buckets(spark, key, buckets):
+    base = spark.range(0, 700).select((F.col("id") * 7919 % 100003 - 400).alias("k")).select(F.expr(key).alias("k"))
+    got = dense_key(base, "k", "sk", buckets=buckets)
+    want = base.withColumn("sk", F.row_number().over(Window.orderBy("k")))
+    assert rows(got, "k", "sk") == rows(want, "k", "sk")
+
+
+def test_dense_key_buckets_follow_the_number_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(keys, "ROWS_PER_BUCKET", 100)
+    asked, real = [], keys._boundaries
+    monkeypatch.setattr(keys, "_boundaries", lambda df, key, n: asked.append(n) or real(df, key, n))
+    for n in (0, 99, 100, 2000):
+        out = dense_key(spark.range(n).select((F.col("id") * 3).alias("k")), "k", "sk")
+        assert out.where("sk <> k / 3 + 1").count() == 0 and out.count() == n
+    assert asked == [1, 1, 2, 21]
+    monkeypatch.setattr(keys, "MAX_BUCKETS", 8)
+    assert dense_key(spark.range(2000).select(F.col("id").alias("k")), "k", "sk").where("sk <> k + 1").count() == 0
+    assert asked[-1] == 8
+
+
+def test_dense_key_writes_its_input_down_only_if_large_or_changing(spark, monkeypatch):
+    staged = []
+    monkeypatch.setattr("strata.sinks.writer.stage", lambda df, name: staged.append(name) or df)
+    small = spark.range(50).select(F.col("id").alias("k"))
+    dense_key(small, "k", "sk")
+    assert staged == []
+    dense_key(small.withColumn("x", F.rand(3)), "k", "sk")
+    dense_key(spark.range(1 << 30).select(F.col("id").alias("k")), "k", "sk", buckets=1)
+    assert len(staged) == 2
+
+
 def test_dense_key_plan_is_partitioned(spark):
     base = spark.range(0, 5000).select(F.col("id").alias("k"))
     plan = dense_key(base, "k", "sk", buckets=17)._jdf.queryExecution().executedPlan().toString()
