@@ -355,6 +355,7 @@ _ORACLES["overwrite_cut_off"] = f"""SELECT step, seen, o_orderkey, CASE WHEN ste
 FROM orders, {_STEPS}, (VALUES ('read'), ('recovered')) r(seen)
 WHERE step = 'staged' OR o_orderstatus <> 'F'"""
 _ORACLES["dimension_cut_off"] = f"""SELECT e.*, step FROM ({_ORACLES["extend_dimension"]}) e, {_STEPS}"""
+_ORACLES["log_snapshots"] = _ORACLES["load_log"]
 _ORACLES["mart_incremental"] = _ORACLES["daily_mart"].replace("GROUP BY 1, 2", "WHERE f.partition_day <= DATE '2001-07-15'\nGROUP BY 1, 2")
 _ORACLES["reconcile_days"] = r"""WITH src AS (
   SELECT CAST(o_orderdate AS DATE) AS day, o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders

@@ -316,18 +316,35 @@ def _events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K8/K9: log rows routed to a layer (unknown names -> faulty), appended and read back."""
+def _routed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log row for each event, routed to a layer (unknown names -> faulty)."""
     layer_name = {"click": "bronze", "view": "Silver", "purchase": "GOLD"}
-    ev = _events_log(spark, sf_dir)
     named = F.coalesce(*[F.when(F.col("layer_name") == k, F.lit(v)) for k, v in layer_name.items()],
                        F.concat(F.lit("x_"), F.col("layer_name")))
-    rows = ev.withColumn("layer", runlog.layer_of(named)).drop("layer_name")
-    path = _scratch(spark, "log")
-    runlog.append_log(rows.select(*runlog.LOG_SCHEMA.fieldNames()), path)
+    rows = _events_log(spark, sf_dir).withColumn("layer", runlog.layer_of(named))
+    return rows.select(*runlog.LOG_SCHEMA.fieldNames())
+
+
+def _read_back(spark: SparkSession, path: str) -> DataFrame:
     return runlog.read_log(spark, path).withColumn("processed_at", F.col("processed_at").cast("timestamp_ntz"))
 
 
+def load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8/K9: log rows routed to a layer, appended and read back."""
+    path = _scratch(spark, "log")
+    runlog.append_log(_routed_events(spark, sf_dir), path)
+    return _read_back(spark, path)
+
+
+def log_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8/K9: the same rows in seven appends, merged whenever a layer has more than two files
+    since the last merge; a batch is appended twice, as by a writer that is run again."""
+    path, rows = _scratch(spark, "log"), _routed_events(spark, sf_dir)
+    for batch in (0, 1, 2, 3, 3, 4, 5):
+        runlog.append_log(rows.where(F.pmod("id", F.lit(6)) == batch), path, snapshot_files=2)
+    return _read_back(spark, path)
+
+
 def latest_destinations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C14 (P8, W3, A9, T2): destinations of the 50 latest successful loads matching 'i'."""
     return runlog.latest_destinations(_events_log(spark, sf_dir), 50, "i")
@@ -617,6 +634,7 @@ QUERIES = {
     "month_range": month_range,
     "pending_files": pending_files,
     "load_log": load_log,
+    "log_snapshots": log_snapshots,
     "latest_destinations": latest_destinations,
     "successful_destinations": successful_destinations,
     "bronze_ingest": bronze_ingest,

@@ -26,11 +26,12 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.operators import runlog
 from strata.operators.upsert import merge
 from strata.session import scratch_path
-from strata.sources.paths import children, delete, move, path_exists, read_text, renames_at_once, table_exists, write_text
+from strata.sources.paths import beside, children, delete, move, path_exists, read_text, renames_at_once, table_exists, write_text
 
 # The points of an overwrite at which ``on_step`` is told how far it has come.
 STEPS = ("staged", "switched", "moved")
@@ -94,21 +95,21 @@ def _save(df: DataFrame | Swap, path: str, mode: str, parts: list[str], fmt: str
     w.save(path)
 
 
-def _beside(path: str, kind: str) -> str:
-    folder, _, name = path.rstrip("/").rpartition("/")
-    return f"{folder}/_{kind}_{name}"
-
-
 def _replace(df: DataFrame, path: str, parts: list[str], fmt: str, overwrite: str, cluster: bool = True,
              remove: Sequence[str] = (), on_step: Callable[[str], None] = _NO_STEP) -> None:
     spark = df.sparkSession
-    staged = f"{_beside(path, 'stage')}-{uuid.uuid4().hex}"
+    staged = f"{beside(path, 'stage')}-{uuid.uuid4().hex}"
     _save(df, staged, "overwrite", parts, fmt, "static", cluster)
     on_step("staged")
     recover(spark, path)  # only now: ``df`` may read a version that is on its way
     _swap(spark, Swap(staged, parts, fmt, overwrite, list(remove)), path, on_step)
 
 
+def replace_files(df: DataFrame, path: str, parts: Sequence[str], names: Sequence[str]) -> None:
+    """Put ``df`` in the place of the files ``names`` (relative to the table); all other files stay."""
+    _replace(df, path, list(parts), "parquet", "files", remove=names)
+
+
 def append_files(df: DataFrame, path: str, parts: Sequence[str] = ()) -> None:
     """Append a few files to the table at ``path``, safely beside appends of other drivers.
 
@@ -116,7 +117,7 @@ def append_files(df: DataFrame, path: str, parts: Sequence[str] = ()) -> None:
     must be such that a part of them, or the same ones again, do no harm.
     """
     spark, path = df.sparkSession, path.rstrip("/")
-    staged = f"{_beside(path, 'stage')}-{uuid.uuid4().hex}"
+    staged = f"{beside(path, 'stage')}-{uuid.uuid4().hex}"
     _save(df, staged, "overwrite", list(parts), "parquet", "static", cluster=False)
     for folder in _leaves(spark, staged, len(parts)):
         for name in children(spark, f"{staged}/{folder}"):
@@ -127,11 +128,11 @@ def append_files(df: DataFrame, path: str, parts: Sequence[str] = ()) -> None:
 
 def _swap(spark: SparkSession, new: Swap, path: str, on_step: Callable[[str], None] = _NO_STEP) -> None:
     """Switch the pointer to the staged version, then move it in; the pointer stands until that is done."""
-    write_text(spark, _beside(path, "swap"), json.dumps(asdict(new)))
+    write_text(spark, beside(path, "swap"), json.dumps(asdict(new)))
     on_step("switched")
     _save(new, path, "overwrite", new.parts, new.fmt, new.overwrite)
     on_step("moved")
-    delete(spark, _beside(path, "swap"))
+    delete(spark, beside(path, "swap"))
     delete(spark, new.staged)
 
 
@@ -166,7 +167,7 @@ def _move_in(spark: SparkSession, new: Swap, path: str) -> None:
 
 def pointer(spark: SparkSession, path: str) -> Swap | None:
     """The version on its way into the table at ``path``, if a write is at that point (or was cut off there)."""
-    text = read_text(spark, _beside(path, "swap"))
+    text = read_text(spark, beside(path, "swap"))
     return None if text is None else Swap(**json.loads(text))
 
 
@@ -188,35 +189,35 @@ def exists(spark: SparkSession, path: str) -> bool:
     return pointer(spark, path) is not None or table_exists(spark, path)
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None) -> DataFrame:
     """The table's current version, also while a new one is being moved in or after its writer died."""
     new, path = pointer(spark, path), path.rstrip("/")
+
+    def reader():
+        r = spark.read.format(fmt)
+        return r if schema is None else r.schema(schema)
+
     if new is None or not path_exists(spark, new.staged):
-        return spark.read.format(fmt).load(path)
+        return reader().load(path)
     if new.overwrite == "static" or not path_exists(spark, path):
-        return spark.read.format(fmt).load(new.staged)
-    # what the new version leaves alone, and what of it has not moved yet
+        return reader().load(new.staged)
+    # what of the new version has not moved yet, and what it leaves alone. In this order: a
+    # file that moves between the two listings is in both, and reading it fails; it is not in neither
+    left = any(children(spark, f"{new.staged}/{f}") for f in _leaves(spark, new.staged, len(new.parts)))
+    fresh = reader().load(new.staged) if left else None
     if new.overwrite == "files":
         gone = F.lit(False)
         for name in new.remove:
             gone = gone | F.endswith(F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))), F.lit(f"/{name}"))
-        kept = spark.read.format(fmt).load(path).where(~gone)
+        kept = reader().load(path).where(~gone)
     else:
         replaced = {*_leaves(spark, new.staged, len(new.parts)), *new.remove}
         folders = [f"{path}/{f}" for f in _leaves(spark, path, len(new.parts)) if f not in replaced]
-        kept = spark.read.format(fmt).option("basePath", path).load(folders) if folders else None
-    left = any(children(spark, f"{new.staged}/{f}") for f in _leaves(spark, new.staged, len(new.parts)))
-    fresh = spark.read.format(fmt).load(new.staged) if left else None
+        kept = reader().option("basePath", path).load(folders) if folders else None
     both = [t for t in (kept, fresh) if t is not None]
     return both[0] if len(both) == 1 else both[0].unionByName(both[1], allowMissingColumns=True)
 
 
-def current(spark: SparkSession, path: str) -> str:
-    """The folder that holds a table which is only ever overwritten as a whole: its own, or that of a version not moved in yet."""
-    new = pointer(spark, path)
-    return new.staged if new is not None and path_exists(spark, new.staged) else path
-
-
 def leftovers(spark: SparkSession, path: str) -> list[str]:
     """Staged folders of writes to ``path`` that died before their pointer was set; safe to delete when no write is running."""
     folder, _, name = path.rstrip("/").rpartition("/")
@@ -233,7 +234,7 @@ def replace_partitions(df: DataFrame, path: str, partition_cols: str | Sequence[
     more: those that ``df`` lacks as well are removed in the same step.
     """
     parts, spark = _cols(partition_cols), df.sparkSession
-    staged = f"{_beside(path, 'stage')}-{uuid.uuid4().hex}"
+    staged = f"{beside(path, 'stage')}-{uuid.uuid4().hex}"
     _save(df, staged, "overwrite", parts, fmt, "static", cluster)
     on_step("staged")
     recover(spark, path)

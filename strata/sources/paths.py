@@ -13,6 +13,12 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def beside(path: str, kind: str) -> str:
+    """``_<kind>_<name>`` in the folder that holds ``path``."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return f"{folder}/_{kind}_{name}"
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.exists(p))

@@ -165,6 +165,61 @@ def test_compacting_the_log_that_dies_loses_no_row(spark, tmp_dir, monkeypatch):
     assert runlog.read_log(spark, tmp_dir).count() == 5
 
 
+def log(spark, path, i, layer="bronze", **how):
+    runlog.append_log(runlog.log_rows(spark, [dict(id=i, file_name=f"f{i}", source="s", destination="d", status="SUCCESS", load_type="x", layer=layer)]), path, **how)
+
+
+def logged_ids(spark, path):
+    return sorted(r["id"] for r in runlog.read_log(spark, path).collect())
+
+
+def test_the_log_is_merged_once_a_layer_has_many_appended_files(spark, tmp_dir):
+    for i in range(1, 10):
+        log(spark, tmp_dir, i, "bronze" if i % 3 else "gold", snapshot_files=3)
+    assert logged_ids(spark, tmp_dir) == list(range(1, 10))
+    assert sum(f.endswith(".parquet") for f in os.listdir(f"{tmp_dir}/layer=bronze")) <= 4
+    assert runlog.compact_log(spark, tmp_dir) and logged_ids(spark, tmp_dir) == list(range(1, 10))
+    assert spark.read.parquet(tmp_dir).count() == 9  # a plain table, too
+
+
+def test_an_append_during_a_merge_stays(spark, tmp_dir, monkeypatch):
+    for i in (1, 2):
+        log(spark, tmp_dir, i)
+    real = writer._swap
+
+    def later(spark, new, path, *rest):
+        monkeypatch.setattr(writer, "_swap", real)
+        log(spark, tmp_dir, 3)  # another driver, after the files to merge were read
+        assert not runlog.compact_log(spark, tmp_dir)  # and it cannot merge at the same time
+        real(spark, new, path, *rest)
+
+    monkeypatch.setattr(writer, "_swap", later)
+    assert runlog.compact_log(spark, tmp_dir)
+    assert logged_ids(spark, tmp_dir) == [1, 2, 3]
+
+
+@pytest.mark.parametrize("moved", [False, True])
+def test_a_merge_that_is_cut_off_is_finished_by_the_next(spark, tmp_dir, monkeypatch, moved):
+    for i in (1, 2, 3):
+        log(spark, tmp_dir, i, "gold" if i == 3 else "bronze")
+    real = writer.delete
+
+    def dies(spark, path):
+        if path.startswith(tmp_dir + "/"):
+            raise Died  # merged files are in, the first of those replaced is about to go
+        real(spark, path)
+
+    monkeypatch.setattr(writer, "delete" if moved else "_move_in", dies if moved else lambda *a: (_ for _ in ()).throw(Died()))
+    with pytest.raises(Died):
+        runlog.compact_log(spark, tmp_dir)
+    monkeypatch.undo()
+    assert logged_ids(spark, tmp_dir) == [1, 2, 3]
+    log(spark, tmp_dir, 4)
+    assert logged_ids(spark, tmp_dir) == [1, 2, 3, 4]
+    assert runlog.compact_log(spark, tmp_dir)
+    assert logged_ids(spark, tmp_dir) == [1, 2, 3, 4] and spark.read.parquet(tmp_dir).count() == 4
+
+
 # ------------------------------------------------------------ upsert by file
 def file_times(path):
     return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
