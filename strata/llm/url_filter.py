@@ -7,8 +7,9 @@ The index is a literal of hash buckets inside the plan, so the whole decision
 happens in the row: no shuffle, no join, one scan.
 
 Defined cases: a null url or one without ``://`` has an empty host and path
-and gets the default verdict; repeated rows are judged each; other columns are
-left out of the way (the results are new columns whose names the caller picks).
+and gets the default verdict; repeated rows are judged each; other columns
+travel along, also those named like this module's helpers; columns named like
+one of the results, whose names the caller picks, are replaced.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import ascii_lower
@@ -66,51 +67,69 @@ def _tokens(target: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(target, F.lit(TOKEN), 0))
 
 
+def _listed(spark: SparkSession, values: Sequence[str]) -> DataFrame:
+    """A column ``token`` of ``values``: one literal, however many there are."""
+    return spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(values)), "array<string>")).alias("token"))
+
+
 def rarest_tokens(df: DataFrame, url: Column, rules: Sequence[UrlRule]) -> dict[UrlRule, str]:
     """For each rule the literal token that the fewest urls of ``df`` hold ("" if it has none).
 
-    Counts only the rules' own tokens, so the result has at most one row a token.
+    Counts only the rules' own tokens (a broadcast of the rules, which the
+    driver holds anyway), so the result has at most one row a token.
     """
-    wanted = sorted({t for r in rules for t in r.tokens})
+    tokens = {r: r.tokens for r in rules}
+    wanted = sorted({t for of_rule in tokens.values() for t in of_rule})
     if not wanted:
         return {r: "" for r in rules}
-    held = F.array_intersect(_tokens(F.concat(host_of(url), path_of(url))), F.array(*map(F.lit, wanted)))
-    n = {r["token"]: r["count"] for r in df.select(F.explode(held).alias("token")).groupBy("token").count().collect()}
-    return {r: min(r.tokens, key=lambda t: (n.get(t, 0), t), default="") for r in rules}
+    held = df.select(F.explode(_tokens(F.concat(host_of(url), path_of(url)))).alias("token"))
+    counts = held.join(F.broadcast(_listed(df.sparkSession, wanted)), "token", "left_semi").groupBy("token").count()
+    n = {r["token"]: r["count"] for r in counts.collect()}
+    return {r: min(tokens[r], key=lambda t: (n.get(t, 0), t), default="") for r in rules}
+
 
+def _hashes(spark: SparkSession, tokens: Sequence[str]) -> dict[str, int]:
+    return {r["token"]: r["h"] for r in _listed(spark, tokens).select("token", F.xxhash64("token").alias("h")).collect()}
 
-def _index(filed: dict[UrlRule, str], spark_hash: dict[str, int], buckets: int) -> Column:
+
+def _index(filed: dict[UrlRule, str], hashes: dict[str, int], buckets: int) -> Column:
     table: list[list[dict]] = [[] for _ in range(buckets)]
     for r, token in filed.items():
-        table[spark_hash[token]].append({"token": token, "regex": r.regex, "rule": r.text, "action": r.action,
-                                         "size": len(r.text), "prefer": int(r.action == "block")})
+        table[hashes[token] % buckets].append({"token": token, "regex": r.regex, "rule": r.text, "action": r.action,
+                                               "size": len(r.text), "prefer": int(r.action == "block")})
     return F.from_json(F.lit(json.dumps(table)), _INDEX)
 
 
+def _free(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each prolonged until no column of ``df`` has it."""
+    there = {c.lower() for c in df.columns}
+    longest = max(map(len, there), default=0)
+    return [n if n not in there else n + "_" * longest for n in names]
+
+
 def judge(df: DataFrame, rules: Sequence[UrlRule], url: str = "url", default: str = "allow",
           host: str = "host", path: str = "path", rule: str = "rule", verdict: str = "verdict") -> DataFrame:
-    """Add host, path, the winning rule (longest; block before allow on a tie) and the verdict to every row."""
-    spark, u = df.sparkSession, F.col(url)
+    """Add host, path, the winning rule (longest; on a tie block before allow, then the greatest text) and the verdict to every row."""
+    u, best = F.col(url), None
     rules = list(dict.fromkeys(rules))
     filed = rarest_tokens(df, u, rules)
-    best = None
+    hashes = _hashes(df.sparkSession, sorted(set(filed.values()))) if filed else {}
+    hosts, paths, target, tokens, winner = _free(df, "__host", "__path", "__target", "__tokens", "__best")
     for at in range(0, len(rules), RULES_PER_INDEX):
         part = {r: filed[r] for r in rules[at:at + RULES_PER_INDEX]}
         buckets = 1 << max(2, len(part).bit_length())
-        bucket = lambda t: F.pmod(F.xxhash64(t), F.lit(buckets)).cast("int")
-        tokens = sorted(set(part.values()))
-        row = spark.range(1).select(*[bucket(F.lit(t)).alias(f"t{i}") for i, t in enumerate(tokens)]).first()
-        index = _index(part, {t: row[i] for i, t in enumerate(tokens)}, buckets)
+        bucket = lambda t: F.pmod(F.xxhash64(t), F.lit(buckets)).cast("int")  # noqa: B023, E731
+        index = _index(part, hashes, buckets)
         fetched = F.flatten(F.transform(
-            F.concat(F.array(F.lit("")), F.col("__tokens")),
+            F.concat(F.array(F.lit("")), F.col(tokens)),
             lambda t: F.filter(F.element_at(index, bucket(t) + 1), lambda r: r["token"] == t)))  # noqa: B023
-        hits = F.filter(fetched, lambda r: F.regexp_like(F.col("__target"), r["regex"]))
+        hits = F.filter(fetched, lambda r: F.regexp_like(F.col(target), r["regex"]))
         longest = F.array_max(F.transform(hits, lambda r: F.struct(r["size"], r["prefer"], r["rule"], r["action"])))
         best = longest if best is None else F.greatest(best, longest)
-    out = (df.withColumns({"__host": host_of(u), "__path": path_of(u)})
-           .withColumn("__target", F.concat("__host", "__path")).withColumn("__tokens", _tokens(F.col("__target"))))
+    out = (df.withColumns({hosts: host_of(u), paths: path_of(u)})
+           .withColumn(target, F.concat(hosts, paths)).withColumn(tokens, _tokens(F.col(target))))
     none = F.lit(None).cast("struct<size:int,prefer:int,rule:string,action:string>")
-    out = out.withColumn("__best", none if best is None else best)
-    return out.withColumns({host: F.col("__host"), path: F.col("__path"), rule: F.col("__best.rule"),
-                            verdict: F.coalesce(F.col("__best.action"), F.lit(default))}
-                           ).drop("__host", "__path", "__target", "__tokens", "__best")
+    out = out.withColumn(winner, none if best is None else best)
+    return out.withColumns({host: F.col(hosts), path: F.col(paths), rule: F.col(winner)["rule"],
+                            verdict: F.coalesce(F.col(winner)["action"], F.lit(default))}
+                           ).drop(hosts, paths, target, tokens, winner)

@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import html
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -81,6 +82,21 @@ def test_url_rules_are_filed_under_their_rarest_token(spark):
     assert url_filter.UrlRule("block", "x.y", "/ab*cd/ef").tokens == ["x", "y"]
 
 
+def test_many_url_rules_and_columns_named_like_helpers(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "RULES_PER_INDEX", 700)  # several indexes
+    rng = random.Random(5)
+    word = lambda: rng.choice(["a", "b-c", "ads", "shop", "é", "x1", "news"])
+    rules = [url_filter.UrlRule(rng.choice(["block", "allow"]), f"{word()}.{word()}.{rng.choice(['net', 'org'])}",
+                                f"/{word()}{rng.choice(['/', '*', '', '*/'])}{i if i % 3 else ''}") for i in range(2000)]
+    urls = [f"http://{word()}.{word()}.{word()}.{rng.choice(['net', 'org', 'com'])}/{word()}/{rng.randrange(2000)}" for _ in range(150)]
+    by_text = sorted(rules, key=lambda r: r.text, reverse=True)  # of rules of one length and action the greatest text wins
+    df = spark.createDataFrame([(i, u, "kept", 7) for i, u in enumerate(urls)], "page_id long, url string, __host string, __Best int")
+    got = url_filter.judge(df, rules)
+    assert got.columns == [*df.columns, "host", "path", "rule", "verdict"]
+    assert {(r["__host"], r["__Best"]) for r in got.collect()} == {("kept", 7)}
+    assert [tuple(r) for r in got.orderBy("page_id").select("host", "path", "rule", "verdict").collect()] == [plain_verdict(u, by_text) for u in urls]
+
+
 def test_url_filter_plan_has_no_python(spark):
     plan = queries.op1_url_filter(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
