@@ -1,8 +1,8 @@
 """Token-id files compressed by Re-Pair grammars, with random access.
 
 Documents are tokenised in ascending id order and dealt into shards of bounded
-size. Within a shard the frequent pairs of neighbouring ids are replaced by
-nonterminals, round after round, until no pair repeats often enough. A file
+size. Within a shard the most frequent pair of neighbouring symbols becomes a
+nonterminal, again and again, until no pair repeats. A file
 stores the rules, the expansion length of every nonterminal, the remaining
 symbols with a position every ``_MARK`` symbols, and the documents' ids and
 lengths, so that any range of ids is decoded without the rest
@@ -40,11 +40,11 @@ from strata.llm.files import create, open_file
 from strata.sinks.writer import stage
 
 END_ID = 0
-MAX_SHARD_IDS = 4 << 20
+MAX_SHARD_IDS = 1 << 19  # a grammar's arrays stay in the processor's caches
 # Documents of a bucket: some 1.4 million ids of ordinary prose. A bucket is one task, which writes as many files as its ids need.
 ROWS_PER_BUCKET, MAX_BUCKETS, MAX_READERS = 1_024, 20_000, 4_096
-MIN_COUNT, RULES_PER_ROUND, MAX_ROUNDS = 8, 5120, 3
-_MAGIC, _MARK, _TABLE_BITS = b"RPG1", 1024, 18
+MIN_COUNT = 2  # a pair that occurs so often gets a rule: every pair that repeats
+_MAGIC, _HEAD, _MARK = b"RPG2", "<4sIIIIQQ", 1024
 _MOST_PIECES, _MOST_WORDS = 100_000, 1_800_000  # some 400 MB a worker
 # Letters and digits of the alphabet below; the pattern that splits text before its merges (fixed value).
 _L, _N = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
@@ -141,96 +141,194 @@ class Encoder:
 
 
 # ------------------------------------------------------------------ grammar
-def compress(ids: np.ndarray, min_count: int = MIN_COUNT, per_round: int = RULES_PER_ROUND, max_rounds: int = MAX_ROUNDS, max_symbols: int = 1 << 16) -> tuple[np.ndarray, np.ndarray, int]:
+def _independent(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
+    """Which of 0..n-1 to take so that no edge (u, v) joins two of them and none could be added; ranks are shuffled, so passes are few."""
+    rank = np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)
+    state = np.zeros(n, np.int8)  # 1: taken, -1: next to one that is
+    while len(u):
+        beaten = np.zeros(n, bool)
+        beaten[np.where(rank[u] > rank[v], u, v)] = True
+        taken = (state == 0) & ~beaten
+        state[taken] = 1
+        state[v[taken[u]]] = -1
+        state[u[taken[v]]] = -1
+        still = (state[u] == 0) & (state[v] == 0)
+        u, v = u[still], v[still]
+    return state >= 0
+
+
+def compress(ids: np.ndarray, min_count: int = MIN_COUNT, per_round: int | None = None, max_rounds: int | None = None) -> tuple[np.ndarray, np.ndarray, int]:
     """(symbols, rules, first nonterminal): rule k says which two symbols nonterminal ``first + k`` stands for.
 
-    Each round counts the neighbouring pairs and replaces the most frequent ones, left to
-    right where occurrences overlap. Counts are kept in hashed places; where several pairs
-    share one, one of them is counted and the others wait for a later round. Up to
-    ``max_symbols`` symbols are told apart, so that one takes two bytes in a file.
+    Re-Pair: the pair of neighbours that occurs most often (overlaps counted once) becomes
+    a nonterminal wherever it occurs, counts are brought up to date, and so on until no pair
+    occurs ``min_count`` times. Pairs that occur equally often and share no symbol in
+    the sequence are replaced together, which is one of the orders of replacing them in turn:
+    neither changes the other's count, and a pair that a replacement makes is no more frequent.
+
+    ``max_rounds`` (counts gone through) and ``per_round`` (pairs replaced together) end it sooner; neither is set in production.
     """
-    seq = ids.astype(np.uint32)
-    first = int(seq.max(initial=0)) + 1
-    rules, n_rules = [np.empty((0, 2), np.uint32)], 0
-    size = 1 << _TABLE_BITS
-    pair_at, rule_at = np.zeros(size, np.int32), np.empty(size, np.int32)
-    for _ in range(max_rounds):
-        if len(seq) < 2:
-            break
-        place = (seq[:-1] * np.uint32(0x9E3779B1) ^ seq[1:] * np.uint32(0x85EBCA77)) * np.uint32(0xC2B2AE3D) >> np.uint32(32 - _TABLE_BITS)
-        pair_at[place] = np.arange(len(place), dtype=np.int32)
-        counted = pair_at[place]
-        same = (seq[counted] == seq[:-1]) & (seq[counted + 1] == seq[1:])
-        counts = np.bincount(place[same], minlength=size)
-        chosen = np.flatnonzero(counts >= min_count)
-        chosen = chosen[np.argsort(-counts[chosen], kind="stable")[:max(0, min(per_round, max_symbols - first - n_rules))]]
-        if not len(chosen):
-            break
-        rule_at.fill(-1)
-        rule_at[chosen] = np.arange(len(chosen), dtype=np.int32)
-        rule = rule_at[place]
-        at = np.flatnonzero((rule >= 0) & same)
-        # of a run of overlapping occurrences every second is taken
-        run = np.concatenate([[True], np.diff(at) != 1])
-        begin = np.maximum.accumulate(np.where(run, np.arange(len(at)), 0))
-        at = at[(np.arange(len(at)) - begin) % 2 == 0]
-        rule = rule[at]
-        # rules that overlaps left with one use or none are not worth their room
-        used = np.bincount(rule, minlength=len(chosen)) >= 2
-        at, rule = at[used[rule]], rule[used[rule]]
+    n, least = len(ids), max(2, min_count)
+    first = int(ids.max(initial=0)) + 1
+    # a list of symbols linked both ways; its end (place n) is no symbol and follows and precedes itself
+    seq = np.append(ids, 0).astype(np.int32)
+    nxt, prv = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
+    seq[n], nxt[n], prv[0] = -1, n, n
+    # The pair that begins at a place, -1 for none that repeats. A pair of one symbol with itself is written as -2 - pair:
+    # what its count loses is not the number of places it loses, so that is found when its turn comes.
+    pair = np.full(n + 1, -1, np.int32)
+    # Of each pair: the (greatest possible) count, its symbols, and its slice of ``places``, which keeps
+    # places that have gone. Pairs with a new symbol come up only when that is made, so slices never grow.
+    count, begin, end, left, right = (np.zeros(2 * n + 1, np.int32) for _ in range(5))
+    places = np.empty(3 * n, np.int32)
+    mark = np.full(n + 1, -1, np.int32)
+    rules, n_rules, n_pairs, n_places = [np.empty((0, 2), np.uint32)], 0, 0, 0
+    place_bits = np.int64(n.bit_length())
+
+    def add(at: np.ndarray) -> None:
+        """Count the pairs that begin at the places ``at`` (all of these pairs' places)."""
+        nonlocal n_pairs, n_places
+        at = at[nxt[at] < n]
         if not len(at):
+            return
+        bits = np.int64((first + n_rules).bit_length())
+        key = seq[at].astype(np.int64) << bits | seq[nxt[at]]
+        if 2 * bits + place_bits < 64:
+            key = key << place_bits | at
+            key.sort()
+            at, key = (key & ((1 << place_bits) - 1)).astype(np.int32), key >> place_bits
+        else:
+            order = np.argsort(key)
+            key, at = key[order], at[order]
+        begins = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
+        size = np.diff(begins, append=len(key))
+        again = size >= least
+        at, size, key = at[np.repeat(again, size)], size[again], key[begins[again]]
+        k = len(key)
+        if not k:
+            return
+        new = slice(n_pairs, n_pairs + k)
+        ends = np.cumsum(size) + n_places
+        count[new], begin[new], end[new] = size, ends - size, ends
+        left[new], right[new] = key >> bits, key & ((1 << bits) - 1)
+        name = np.arange(n_pairs, n_pairs + k, dtype=np.int32)
+        pair[at] = np.repeat(np.where(left[new] == right[new], -2 - name, name), size)
+        places[n_places:n_places + len(at)] = at
+        n_pairs, n_places = n_pairs + k, n_places + len(at)
+
+    add(np.arange(n, dtype=np.int32))
+    often, floor, level, rounds = np.empty(0, np.int64), 0, 0, 0  # pairs that may occur ``floor`` times
+    while n_pairs:
+        now = count[often]
+        top = int(now.max(initial=0))
+        if top < max(floor, 1):
+            top = int(count[:n_pairs].max())
+            floor = max(least, top if top <= 32 else (top + 1) // 2)
+            often = np.flatnonzero(count[:n_pairs] >= floor)
+            now = count[often]
+        if top < least or (top != level and rounds == max_rounds):
             break
-        kept = pair_at[chosen[used]]
-        rules.append(np.stack([seq[kept], seq[kept + 1]], 1))
-        seq[at] = (first + n_rules + np.cumsum(used) - 1)[rule].astype(np.uint32)
-        keep = np.ones(len(seq), bool)
-        keep[at + 1] = False
-        seq = seq[keep]
-        n_rules += len(rules[-1])
-    return seq, np.concatenate(rules), first
+        rounds, level = rounds + (top != level), top
+        some = often[now == top][:per_round]
+        alike = left[some] == right[some]
+        if alike.any():
+            some = some[alike][:1]
+            p = int(some[0])
+            i = np.sort(places[begin[p]:end[p]])
+            i = i[pair[i] == -2 - p]
+            # of a run of overlapping occurrences every second is taken
+            run, at = np.append(True, nxt[i[:-1]] != i[1:])[:len(i)], np.arange(len(i))
+            taken = i[(at - np.maximum.accumulate(np.where(run, at, 0))) % 2 == 0]
+            if len(taken) < top:
+                count[p] = len(taken)
+                continue
+            pair[i] = -1
+            i, x = taken, first + n_rules
+        elif len(some) == 1:
+            i = places[begin[some[0]]:end[some[0]]]
+            i, x = i[pair[i] == some[0]], first + n_rules
+        else:
+            size = end[some] - begin[some]
+            which = np.repeat(np.arange(len(some)), size)
+            i = places[np.arange(len(which)) + np.repeat(begin[some] - (np.cumsum(size) - size), size)]
+            here = pair[i] == some[which]
+            i, which = i[here], which[here]
+            mark[i] = which
+            other = mark[nxt[i]]
+            mark[i] = -1
+            shared = other >= 0
+            if shared.any():
+                free = _independent(which[shared], other[shared], len(some))
+                i, which, some = i[free[which]], (np.cumsum(free) - 1)[which[free[which]]], some[free]
+            x = first + n_rules + which
+        j, before = nxt[i], prv[i]
+        after = nxt[j]
+        mark[j] = 1
+        before = before[mark[before] < 0]  # neighbours that are not replaced themselves
+        mark[j] = -1
+        gone = np.concatenate([pair[j], pair[before]])
+        np.subtract.at(count, gone[gone >= 0].astype(np.intp), np.int32(1))
+        count[some] = 0
+        pair[i] = pair[j] = pair[before] = -1
+        seq[i], seq[j] = x, -1
+        nxt[i], prv[after] = after, i
+        rules.append(np.stack([left[some], right[some]], 1).astype(np.uint32))
+        n_rules += len(some)
+        old = n_pairs
+        add(np.concatenate([i, before[before < n]]))
+        if n_pairs > old:
+            often = np.concatenate([often, np.flatnonzero(count[old:n_pairs] >= floor) + old])
+    return seq[seq >= 0].astype(np.uint32), np.concatenate(rules), first
 
 
 def expansion_lengths(rules: np.ndarray, first: int) -> np.ndarray:
     """How many ids each nonterminal stands for (its parts are symbols before it)."""
-    lengths: list[int] = []
+    lengths = [1] * first
     for a, b in rules.tolist():
-        lengths.append((lengths[a - first] if a >= first else 1) + (lengths[b - first] if b >= first else 1))
-    return np.array(lengths, np.uint32)
+        lengths.append(lengths[a] + lengths[b])
+    return np.array(lengths[first:], np.uint32)
 
 
 def _expand(symbols: np.ndarray, rules: np.ndarray, first: int) -> np.ndarray:
-    """The ids that ``symbols`` stand for, opened level by level."""
-    while True:
-        open_ = symbols >= first
-        if not open_.any():
-            return symbols
-        at = np.cumsum(1 + open_) - (1 + open_)
-        out = np.empty(int(at[-1]) + 1 + int(open_[-1]), np.uint32)
-        pairs = rules[symbols[open_] - first]
-        out[at[~open_]] = symbols[~open_]
-        out[at[open_]], out[at[open_] + 1] = pairs[:, 0], pairs[:, 1]
-        symbols = out
+    """The ids that ``symbols`` stand for."""
+    return Shard(rules, expansion_lengths(rules, first), None, None, first, 0, None)._opened(symbols)
+
+
+def _bytes_for(n: int) -> int:
+    """Bytes that numbers below ``n`` take."""
+    return max(1, -(-(n - 1).bit_length() // 8))
+
+
+def _narrow(numbers: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bytes of each number, little-endian."""
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width].tobytes()
+
+
+def _widen(rows: np.ndarray) -> np.ndarray:
+    """Numbers of rows of bytes, as :func:`_narrow` wrote them."""
+    wide = np.zeros((len(rows), 4), np.uint8)
+    wide[:, :rows.shape[1]] = rows
+    return wide.view("<u4")[:, 0]
 
 
 def pack(ids: np.ndarray, docs: pa.RecordBatch) -> bytes:
     """A file: header, rules, expansion lengths, marks, symbols, then the documents (doc_id, n_tokens) as an Arrow stream."""
     symbols, rules, first = compress(ids)
     lengths = expansion_lengths(rules, first)
-    wide = np.ones(len(symbols), np.int64)
-    wide[symbols >= first] = lengths[symbols[symbols >= first] - first]
+    wide = np.append(np.ones(first, np.int64), lengths)[symbols]
     marks = (np.cumsum(wide) - wide)[::_MARK].astype("<u8")
-    symbol_type = "<u2" if first + len(rules) <= 1 << 16 else "<u4"
+    width, length_width = _bytes_for(first + len(rules)), _bytes_for(int(lengths.max(initial=0)) + 1)
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, docs.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
         w.write_batch(docs)
-    head = struct.pack("<4sIIIQQ", _MAGIC, first, len(rules), int(symbol_type[-1]), len(symbols), len(ids))
-    return b"".join([head, rules.astype("<u4").tobytes(), lengths.astype("<u4").tobytes(), marks.tobytes(),
-                     symbols.astype(symbol_type).tobytes(), sink.getvalue().to_pybytes()])
+    head = struct.pack(_HEAD, _MAGIC, first, len(rules), width, length_width, len(symbols), len(ids))
+    return b"".join([head, _narrow(rules.ravel(), width), _narrow(lengths, length_width), marks.tobytes(),
+                     _narrow(symbols, width), sink.getvalue().to_pybytes()])
 
 
 @dataclass
 class Shard:
-    """A file opened for reading; symbols are mapped from ``data`` and opened only where they are asked for."""
+    """A file opened for reading; symbols (rows of bytes) are mapped from ``data`` and opened only where they are asked for."""
 
     rules: np.ndarray
     lengths: np.ndarray
@@ -242,10 +340,10 @@ class Shard:
 
     @classmethod
     def of(cls, data: bytes) -> Shard:
-        magic, first, n_rules, width, n_symbols, n_ids = struct.unpack_from("<4sIIIQQ", data)
+        magic, first, n_rules, width, length_width, n_symbols, n_ids = struct.unpack_from(_HEAD, data)
         if magic != _MAGIC:
             raise ValueError("not a grammar file")
-        at = struct.calcsize("<4sIIIQQ")
+        at = struct.calcsize(_HEAD)
 
         def part(kind: str, n: int) -> np.ndarray:
             nonlocal at
@@ -253,28 +351,29 @@ class Shard:
             at += a.nbytes
             return a
 
-        rules, lengths = part("<u4", 2 * n_rules).reshape(-1, 2), part("<u4", n_rules)
-        marks, symbols = part("<u8", -(-n_symbols // _MARK)), part(f"<u{width}", n_symbols)
+        def rows(n: int, wide: int) -> np.ndarray:
+            return part("u1", n * wide).reshape(n, wide)
+
+        rules, lengths = _widen(rows(2 * n_rules, width)).reshape(-1, 2), _widen(rows(n_rules, length_width))
+        marks, symbols = part("<u8", -(-n_symbols // _MARK)), rows(n_symbols, width)
         return cls(rules, lengths, marks, symbols, first, n_ids, pa.ipc.open_stream(pa.py_buffer(data)[at:]).read_all())
 
     @cached_property
-    def _texts(self) -> tuple[np.ndarray, np.ndarray]:
-        """What each nonterminal stands for, one after the other, and where each begins."""
-        n = np.arange(self.first, self.first + len(self.rules), dtype=np.uint32)
-        return _expand(n, self.rules, self.first), np.cumsum(self.lengths, dtype=np.int64) - self.lengths
+    def _wide(self) -> np.ndarray:
+        """How many ids each symbol stands for."""
+        return np.append(np.ones(self.first, np.int64), self.lengths)
 
     def _opened(self, symbols: np.ndarray) -> np.ndarray:
-        texts, begin = self._texts
-        open_ = symbols >= self.first
-        rule = symbols[open_].astype(np.int64) - self.first
-        wide = np.ones(len(symbols), np.int64)
-        wide[open_] = self.lengths[rule]
-        ends = np.cumsum(wide)
-        out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32)
-        out[(ends - wide)[~open_]] = symbols[~open_]
-        n, to = self.lengths[rule].astype(np.int64), (ends - wide)[open_]
-        step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        out[np.repeat(to, n) + step] = texts[np.repeat(begin[rule], n) + step]
+        """The ids that ``symbols`` stand for: each nonterminal is opened at its own place in the output."""
+        wide = self._wide[symbols]
+        at = np.cumsum(wide) - wide
+        out = np.empty(int(wide.sum()), np.uint32)
+        while len(symbols):
+            open_ = symbols >= self.first
+            out[at[~open_]] = symbols[~open_]
+            pairs, at = self.rules[symbols[open_] - self.first], at[open_]
+            a, b = pairs[:, 0], pairs[:, 1]
+            symbols, at = np.concatenate([a, b]), np.concatenate([at, at + self._wide[a]])
         return out
 
     def read(self, start: int, stop: int) -> np.ndarray:
@@ -284,16 +383,15 @@ class Shard:
             return np.empty(0, np.uint32)
         a = int(np.searchsorted(self.marks, start, "right")) - 1
         b = int(np.searchsorted(self.marks, stop, "left"))
-        span, before = self.symbols[a * _MARK:b * _MARK], int(self.marks[a])
-        wide = np.ones(len(span), np.int64)
-        wide[span >= self.first] = self.lengths[span[span >= self.first] - self.first]
+        span, before = _widen(self.symbols[a * _MARK:b * _MARK]), int(self.marks[a])
+        wide = self._wide[span]
         ends = before + np.cumsum(wide)
         i, j = int(np.searchsorted(ends, start, "right")), int(np.searchsorted(ends, stop, "left")) + 1
         offset = int(ends[i] - wide[i])
         return self._opened(span[i:j])[start - offset:stop - offset]
 
     def all(self) -> np.ndarray:
-        return self._opened(self.symbols)
+        return self._opened(_widen(self.symbols))
 
 
 # -------------------------------------------------------------------- files

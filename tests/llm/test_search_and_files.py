@@ -238,6 +238,40 @@ def test_repeats_become_few_symbols():
     assert len(symbols) < len(ids) / 20 and len(rules) < 300
 
 
+def pair_counts(seq):
+    """Occurrences of each pair of neighbours; of a run of overlapping ones every second."""
+    counts, last = {}, {}
+    for k, pair in enumerate(zip(seq, seq[1:])):
+        if last.get(pair) != k - 1 or pair[0] != pair[1]:
+            counts[pair], last[pair] = counts.get(pair, 0) + 1, k
+    return counts
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10**6), st.integers(0, 300), st.integers(1, 12), st.integers(1, 4))
+def test_every_rule_is_the_most_frequent_pair_until_none_repeats(seed, n, alphabet, copies):
+    seq = np.tile(np.random.default_rng(seed).integers(0, alphabet, n).astype("<u4"), copies)
+    symbols, rules, first = repair.compress(seq)
+    seq = seq.tolist()
+    for k, (a, b) in enumerate(rules.tolist()):
+        counts = pair_counts(seq)
+        assert counts[a, b] == max(counts.values())
+        out, i = [], 0
+        while i < len(seq):
+            hit = seq[i:i + 2] == [a, b]
+            out.append(first + k if hit else seq[i])
+            i += 2 if hit else 1
+        seq = out
+    assert symbols.tolist() == seq and max(pair_counts(seq).values(), default=0) < 2
+
+
+def test_long_repeats_of_a_large_shard():
+    ids = np.concatenate([np.tile(np.random.default_rng(5).integers(0, 50_000, 700), 300), np.zeros(10_001, int), np.arange(70_000)]).astype("<u4")
+    shard = repair.Shard.of(repair.pack(ids, pa.RecordBatch.from_arrays([pa.array([1]), pa.array([len(ids)])], names=["doc_id", "n_tokens"])))
+    assert shard.all().tolist() == ids.tolist() and len(shard.symbols) < 70_100
+    assert shard.read(209_000, 211_000).tolist() == ids[209_000:211_000].tolist()
+
+
 def test_a_damaged_file_is_refused():
     with pytest.raises(ValueError):
         repair.Shard.of(b"what" * 20)
