@@ -57,3 +57,36 @@ def test_mart_has_one_aggregate_shuffle_after_lookups(spark):
     p = m._jdf.queryExecution().sparkPlan().toString()
     # partial + final aggregate for the mart, partial + final for the dedup
     assert p.count("HashAggregate") == 4
+
+
+def test_full_refresh_moves_rows_before_ids_are_added(spark, tmp_dir):
+    from strata.sinks.writer import stage
+
+    dims = {k: stage(d) for k, d in adapter.dimensions(spark, SF_SMALL).items()}
+    raw = adapter.dirty_trips(spark, SF_SMALL)
+    p = plan(fact.build_fact(raw, dims, first_valid=adapter.FIRST_VALID, by_day=True))
+    assert p.index("sha2(") < p.index("REBALANCE_PARTITIONS_BY_COL")  # the root comes first
+    fact.refresh_full(raw, dims, tmp_dir, first_valid=adapter.FIRST_VALID)
+    got, want = spark.read.parquet(tmp_dir), fact.build_fact(raw, dims, first_valid=adapter.FIRST_VALID)
+    files = got.groupBy("partition_day").agg(F.count_distinct("_metadata.file_path").alias("n"))
+    assert files.agg(F.max("n")).first()[0] == 1
+    got = got.select(*want.columns)
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+
+def test_recent_rows_filter_what_they_are_joined_from(spark, monkeypatch):
+    from strata import session
+    from strata.operators.filters import recent
+    from strata.plans import model
+
+    key = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    monkeypatch.setitem(session.RUNTIME_FILTER_CONF, key, "0")
+    monkeypatch.setitem(session.RUNTIME_FILTER_CONF, "spark.sql.autoBroadcastJoinThreshold", "-1")  # no table is large here
+    before = spark.conf.get(key)
+    fresh = lambda: recent(adapter.dirty_trips(spark, SF_SMALL), model.PICKUP, 2, "2001-07-15")
+    with session.runtime_filters(spark):
+        filtered = fresh()
+        assert "might_contain" in plan(filtered)
+        rows = sorted(map(str, filtered.collect()))
+    assert spark.conf.get(key) == before and "might_contain" not in plan(fresh())
+    assert rows == sorted(map(str, fresh().collect()))
