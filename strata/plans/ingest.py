@@ -22,6 +22,7 @@ from pyspark.sql.types import DataType, StructType
 
 from strata.operators import claims as claiming
 from strata.operators import runlog
+from strata.operators.broadcast import estimated_bytes
 from strata.sinks.writer import append_files, replace_partitions
 from strata.sources.landing import read_conformed
 from strata.sources.months import with_source_names
@@ -30,6 +31,8 @@ from strata.sources.paths import delete, path_exists
 
 # Columns that exist only between reading and writing.
 _LOST, _FILE, _ROW = "_rejected_values", "_rejected_file", "_rejected_row"
+# Landed folders of at most so many files, or of files of at least so many bytes, are written as they are read.
+FILES_PER_FOLDER, SMALL_FILE = 4, 8 << 20
 COUNTS_SCHEMA = "load_id long, item string, metric string, rows long"
 
 
@@ -43,6 +46,16 @@ def _names(schema: Mapping[str, DataType] | StructType) -> list[str]:
     return schema.fieldNames() if isinstance(schema, StructType) else list(schema)
 
 
+def _scattered(df: DataFrame, folders: int) -> bool:
+    """Whether ``df`` is read from many small files, which a write should gather.
+
+    A landed file belongs to one month, so a write that moves no rows makes at
+    most one file of each part of a file that a task reads.
+    """
+    n = len(df.inputFiles())
+    return n > FILES_PER_FOLDER * folders and estimated_bytes(df) < n * SMALL_FILE
+
+
 def ingest(
     spark: SparkSession,
     months: DataFrame,
@@ -152,7 +165,7 @@ def _load_all(spark, todo, landing, target, schema, log_path, landed_path, stric
         kept = (df.where(~lost) if rejects is not None else df).drop("year_month", _LOST)
         folder = lambda ym: f"year={todo[ym]['year']}/month={todo[ym]['month']}"
         replace_partitions(kept, target, ["year", "month"], emptied=[folder(ym) for ym in yms] if rejects is not None else (),
-                           on_step=check, cluster=not counted)
+                           on_step=check, cluster=not counted and _scattered(df, len(yms)))
         found = seen.get if counted else {}
         if rejects is not None:
             set_aside([ym for ym in yms if found[f"lossy {ym}"]], [folder(ym) for ym in yms])

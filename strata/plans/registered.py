@@ -504,8 +504,7 @@ def lake_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     root, landing, seed_root = _scratch(spark, "lake"), _scratch(spark, "lake-landing"), _scratch(spark, "seeds")
     trips = adapter.dirty_trips(spark, sf_dir)
-    trips.withColumn("year_month", F.date_format(model.PICKUP, "yyyy-MM")).write.partitionBy("year_month") \
-        .parquet(landing)
+    write(trips.withColumn("year_month", F.date_format(model.PICKUP, "yyyy-MM")), landing, "overwrite", "year_month")
     seeds = {}
     schemas = {"dim_vendor": model.VENDOR_SEED, "dim_rate_code": model.RATE_CODE_SEED,
                "dim_payment_method": model.PAYMENT_SEED, "dim_location": model.LOCATION_SEED}
@@ -513,7 +512,7 @@ def lake_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
         write_seed(frame, f"{seed_root}/{name}")
         seeds[name] = (f"{seed_root}/{name}", schemas[name])
     lake = Lake(root, landing, seeds=seeds, calendar_range=("1996-01-01", "2002-12-31"))
-    span = trips.agg(F.min(model.PICKUP).alias("lo"), F.max(model.PICKUP).alias("hi")).first()
+    span = spark.read.parquet(landing).agg(F.min(model.PICKUP).alias("lo"), F.max(model.PICKUP).alias("hi")).first()
     hi = span["hi"]
     bronze_job(spark, lake, (span["lo"].year, span["lo"].month), (hi.year + hi.month // 12, hi.month % 12 + 1))
     dimension_job(spark, lake)

@@ -108,3 +108,34 @@ def test_fact_dedup_per_source_file(spark, tmp_dir):
     assert {r.trip_id for r in per_file.collect()} == {whole.first().trip_id}
     r = whole.first()
     assert (r.vendor_sk, r.pu_location_sk, r.do_location_sk, r.rate_code_sk) == (1, 1, 2, None)
+
+
+def test_landed_months_are_written_as_read_unless_they_are_many_small_files(spark, tmp_dir):
+    from strata.plans import ingest
+
+    months = spark.range(400).select("id", F.when(F.col("id") % 2 == 0, "2024-01").otherwise("2024-02").alias("year_month"))
+    for files, scattered in ((2, False), (12, True)):
+        months.repartition(files).write.partitionBy("year_month").parquet(f"{tmp_dir}-{files}")
+        assert ingest._scattered(spark.read.parquet(f"{tmp_dir}-{files}"), 2) == scattered
+
+
+def test_lake_query_lands_each_month_in_one_file(spark, monkeypatch):
+    from strata.plans import jobs, registered
+    from tests.conftest import SF_SMALL
+
+    class Landed(Exception):
+        pass
+
+    def landed(spark, lake, start, end):
+        files = spark.read.parquet(lake.landing).groupBy("year_month").agg(F.count_distinct("_metadata.file_path").alias("n"))
+        raise Landed(files.agg(F.max("n")).first()[0], start, end)
+
+    monkeypatch.setattr(jobs, "bronze_job", landed)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    try:
+        registered.lake_end_to_end(spark, SF_SMALL)
+    except Landed as seen:
+        most, start, end = seen.args
+    pickups = registered.adapter.dirty_trips(spark, SF_SMALL).agg(F.min("tpep_pickup_datetime"), F.max("tpep_pickup_datetime")).first()
+    assert most == 1 and start == (pickups[0].year, pickups[0].month)
+    assert end == (pickups[1].year + pickups[1].month // 12, pickups[1].month % 12 + 1)
