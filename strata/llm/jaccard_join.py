@@ -240,8 +240,8 @@ def _pairs_of_families(k: int | None):
     return run
 
 
-def family_pairs(families: DataFrame, comps: DataFrame | None, k: int | None, salt: int) -> DataFrame:
-    """Distinct pairs (a, b) inside families that may be similar and are not yet connected.
+def family_pairs(families: DataFrame, comps: DataFrame | None, k: int | None, salt: int) -> DataFrame | None:
+    """Distinct pairs (a, b) inside families that may be similar and are not yet connected; None if every family is one component.
 
     With ``k`` the nearest ``k`` of each document within its block, else all pairs of all blocks.
     """
@@ -252,6 +252,8 @@ def family_pairs(families: DataFrame, comps: DataFrame | None, k: int | None, sa
         f = f.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         # written first, so that the join below can split a family that fills a partition
         split = stage(f.groupBy("centre").agg((F.min("comp") != F.max("comp")).alias("split")).where("split").select("centre"), "jaccard-split")
+        if split.isEmpty():
+            return None
         f = f.join(split, "centre", "left_semi")
     f = f.withColumn("own", F.pmod(F.xxhash64("node", F.lit(salt)), F.col("blocks")).cast("int"))
     if k is None:
@@ -321,6 +323,8 @@ def join(docs: DataFrame) -> DataFrame:
     tried, texts, comps = None, None, None
     for salt, k in enumerate(NEAREST):
         pairs = family_pairs(families, comps, k, salt)
+        if pairs is None:  # nor will a later pass find any
+            break
         pairs = stage(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
         if pairs.isEmpty():
             continue

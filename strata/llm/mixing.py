@@ -87,7 +87,7 @@ def cut(per_source: DataFrame, slots: int = SLOTS_PER_SOURCE) -> DataFrame:
 
 
 def schedule(cuts: DataFrame, n_sources: int, step: int = _PHI32) -> DataFrame:
-    """(rank of the source, band, slot, k, at): slot number ``slot`` of its band is the ``k``-th (from 0) of its source and stands at ``at`` of the mix."""
+    """(rank of the source, its blocks, band, slot, k, at): slot number ``slot`` of its band is the ``k``-th (from 0) of its source and stands at ``at`` of the mix."""
     spans = cuts.where("share > 0").withColumn("__of", F.floor(F.col("rank") / _CHUNK))
     running = F.sum("share").over(Window.partitionBy("band", "__of").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0))
     totals = spans.groupBy("band", "__of").agg(F.sum("share").alias("__sum"), F.max("slot_words").alias("__words"))
@@ -98,7 +98,7 @@ def schedule(cuts: DataFrame, n_sources: int, step: int = _PHI32) -> DataFrame:
     totals = totals.withColumn("__slots", n_slots)
     point = lambda c: F.floor(c / F.col("__total") * F.lit(float(1 << 32)))
     spans = (spans.withColumn("__upto", running).join(totals, ["band", "__of"])
-             .select("rank", "band", point(F.col("__before") + F.col("__upto") - F.col("share")).alias("__lo"), point(F.col("__before") + F.col("__upto")).alias("__hi")))
+             .select("rank", "blocks", "band", point(F.col("__before") + F.col("__upto") - F.col("share")).alias("__lo"), point(F.col("__before") + F.col("__upto")).alias("__hi")))
     # about a span a cell, so that a slot meets few sources
     cell = 32 - min(31, max(12, math.ceil(math.log2(n_sources + 1))))
     cells = spans.where("__lo < __hi").withColumn("__cell", F.explode(F.sequence(F.shiftright("__lo", cell), F.shiftright(F.col("__hi") - 1, cell))))
@@ -108,19 +108,17 @@ def schedule(cuts: DataFrame, n_sources: int, step: int = _PHI32) -> DataFrame:
              .withColumn("slot", F.explode(F.sequence(F.col("__chunk") * _CHUNK, F.least(F.col("__chunk") * _CHUNK + _CHUNK, F.col("__slots")) - 1)))
              .withColumn("__point", F.col("slot") % (1 << 32) * step % (1 << 32)).withColumn("__cell", F.shiftright("__point", cell))
              .join(cells, ["band", "__cell"]).where("__lo <= __point and __point < __hi")
-             .select("rank", "band", "slot", "__chunk", ((F.col("slot") + 0.5) / F.col("__slots")).alias("at")))
+             .select("rank", "blocks", "band", "slot", "__chunk", ((F.col("slot") + 0.5) / F.col("__slots")).alias("at")))
     offsets = (drawn.groupBy("rank", "__chunk").count()
                .select("rank", "__chunk", (F.sum("count").over(Window.partitionBy("rank").orderBy("__chunk")) - F.col("count")).alias("__offset")))
     within = F.row_number().over(Window.partitionBy("rank", "__chunk").orderBy("slot"))
     return (drawn.withColumn("__n", within).join(offsets, ["rank", "__chunk"])
-            .select("rank", "band", "slot", (F.col("__offset") + F.col("__n") - 1).alias("k"), "at"))
+            .select("rank", "blocks", "band", "slot", (F.col("__offset") + F.col("__n") - 1).alias("k"), "at"))
 
 
 def draws(cuts: DataFrame, n_sources: int, step: int = _PHI32) -> DataFrame:
     """(rank, band, slot, at, block): the block that each slot takes; slots of a source that has been taken ``MAX_EPOCHS`` times take none."""
-    side = cuts.select("rank", "blocks")
-    side = F.broadcast(side) if n_sources <= MAX_BROADCAST_SOURCES else side
-    return (schedule(cuts, n_sources, step).join(side, "rank").where(F.col("k") < MAX_EPOCHS * F.col("blocks"))
+    return (schedule(cuts, n_sources, step).where(F.col("k") < MAX_EPOCHS * F.col("blocks"))
             .select("rank", "band", "slot", "at", (F.col("k") % F.col("blocks")).alias("block")))
 
 
@@ -152,6 +150,8 @@ def mix(docs: DataFrame, slots: int = SLOTS_PER_SOURCE, step: int = _PHI32) -> D
               .withColumn("__end", F.col("__offset") + F.col("__end")).withColumn("__start", F.col("__end") - F.col("size")))
 
     uses = draws(cuts, n_sources, step).groupBy("rank", F.col("block").alias("__block")).agg(F.count(F.lit(1)).alias("__uses"), F.min("at").alias("__at"))
+    # a plan of its own: Spark plans all that is left anew, and describes it, whenever one of a query's exchanges ends
+    uses = stage(uses, "mix-uses")
     keys = ["doc_id", "source", "size", "source_size", "target"]
     spread = placed.withColumn("__block", F.explode(F.when(F.col("size") > 0, F.sequence(
         _block_of(F.col("__start")), _block_of(F.col("__end") - 1))).otherwise(F.array(F.lit(-1).cast("long")))))
