@@ -109,6 +109,7 @@ def schedule(cuts: DataFrame, n_sources: int, step: int = _PHI32) -> DataFrame:
              .withColumn("__point", F.col("slot") % (1 << 32) * step % (1 << 32)).withColumn("__cell", F.shiftright("__point", cell))
              .join(cells, ["band", "__cell"]).where("__lo <= __point and __point < __hi")
              .select("rank", "blocks", "band", "slot", "__chunk", ((F.col("slot") + 0.5) / F.col("__slots")).alias("at")))
+    drawn = stage(drawn, "mix-drawn")  # read twice below
     offsets = (drawn.groupBy("rank", "__chunk").count()
                .select("rank", "__chunk", (F.sum("count").over(Window.partitionBy("rank").orderBy("__chunk")) - F.col("count")).alias("__offset")))
     within = F.row_number().over(Window.partitionBy("rank", "__chunk").orderBy("slot"))

@@ -60,3 +60,9 @@ def test_the_schedule_of_a_mix_is_a_plan_of_its_own(spark):
     docs = spark.createDataFrame([(i, "a b c d " * (1 + i % 5), "en", f"s{i % 3}", 0) for i in range(60)], DOC)
     plan = mixing.mix(docs)._jdf.queryExecution().executedPlan().toString()
     assert 0 < plan.count("Exchange ") + plan.count("BroadcastExchange ") <= 12
+
+
+def test_the_slots_drawn_are_computed_once(spark):
+    docs = spark.createDataFrame([(i, "a b c d " * (1 + i % 5), "en", f"s{i % 3}", 0) for i in range(60)], DOC)
+    drawn = mixing.draws(mixing.cut(mixing.targets(mixing.sizes(docs))), 3)
+    assert 0 < drawn._jdf.queryExecution().executedPlan().toString().count("Exchange ") <= 5
