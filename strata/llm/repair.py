@@ -29,9 +29,11 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,9 +45,12 @@ END_ID = 0
 MAX_SHARD_IDS = 1 << 19  # a grammar's arrays stay in the processor's caches
 # Documents of a bucket: some 1.4 million ids of ordinary prose. A bucket is one task, which writes as many files as its ids need.
 ROWS_PER_BUCKET, MAX_BUCKETS, MAX_READERS = 1_024, 20_000, 4_096
+SHARDS_TOGETHER, FILES_PER_READER = 3, 8  # a worker holds so many shards at a time, or one file
 MIN_COUNT = 2  # a pair that occurs so often gets a rule: every pair that repeats
+_LOW = 32  # counts up to this are gone through one by one by all shards together
 _MAGIC, _HEAD, _MARK = b"RPG2", "<4sIIIIQQ", 1024
 _MOST_PIECES, _MOST_WORDS = 100_000, 1_800_000  # some 400 MB a worker
+_WORDS_AT_ONCE, _CHARS_AT_ONCE = 8_192, 4 << 20
 # Letters and digits of the alphabet below; the pattern that splits text before its merges (fixed value).
 _L, _N = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
 _SPLIT = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+")
@@ -130,6 +135,68 @@ class Encoder:
         pieces, words = self.pieces, self.words
         return b"".join([words[p[1:]] if p[0] == " " and p[1:].isalpha() else pieces[p] for p in _SPLIT.findall(text)])
 
+    def _alphabetic(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of new words of letters, put into the model's alphabet many at a time."""
+        if self.model is None:
+            return {w: self._piece(" " + w) for w in words}
+        out = {}
+        for k in range(0, len(words), _WORDS_AT_ONCE):
+            some = words[k:k + _WORDS_AT_ONCE]
+            letters = (" " + "\n ".join(some)).encode().decode("latin-1").translate(_BYTE_LETTERS)
+            found = [[t.id for t in tokens] for tokens in map(self.model.tokenize, letters.split(_BYTE_LETTERS[10]))]
+            data = np.array(list(chain.from_iterable(found)), "<u4").tobytes()
+            ends = (4 * np.cumsum(list(map(len, found)))).tolist()
+            out.update((w, data[a:b]) for w, a, b in zip(some, [0, *ends], ends))
+        return out
+
+    def _each_word(self, words: list[str]) -> list[bytes]:
+        """Ids of the distinct ``words``, as :meth:`_word` gives them."""
+        known = self.words
+        got = list(map(known.get, words))
+        new = [w for w, ids in zip(words, got, strict=True) if ids is None]
+        if not new:
+            return got
+        letters = {w: None for w in new if w.isalpha()}
+        split = {w: _SPLIT.findall(w if w[:1] == "\n" else " " + w) for w in new if w not in letters}
+        letters.update((p[1:], None) for parts in split.values() for p in parts if p[0] == " " and p[1:].isalpha() and p[1:] not in known)
+        fresh, pieces = self._alphabetic(list(letters)), self.pieces
+        fresh |= {w: b"".join([(known.get(p[1:]) or fresh[p[1:]]) if p[0] == " " and p[1:].isalpha() else pieces[p] for p in parts]) for w, parts in split.items()}
+        room = known.most - len(known)
+        known.update(fresh if len(fresh) <= room else dict(list(fresh.items())[:max(0, room)]))
+        return [fresh[w] if ids is None else ids for w, ids in zip(words, got, strict=True)]
+
+    def _lines(self, texts: pa.Array) -> list[bytes]:
+        """Ids of texts without white spaces that touch: those of their distinct words, put in their places."""
+        words = pc.split_pattern(pc.replace_substring(pc.binary_join_element_wise("\n", texts, ""), "\n", " \n"), " ")
+        at, coded = words.offsets.to_numpy(), words.values.dictionary_encode()
+        found = self._each_word(pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary), " ")[0].as_py().split(" "))
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        codes = coded.indices.to_numpy()
+        size = lengths[codes]
+        size[at[:-1]] = 0  # what is before a line's first space
+        ends = np.cumsum(size)
+        place = (np.cumsum(lengths) - lengths)[codes] - (ends - size)
+        out = np.frombuffer(b"".join(found), "<u4")[np.arange(ends[-1]) + np.repeat(place, size)].tobytes()
+        bounds = (4 * np.append(0, ends)[at]).tolist()
+        return [out[a + 4:b] for a, b in zip(bounds, bounds[1:])]  # without the line's end put in front
+
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """What :meth:`encode` gives for each of the texts (null: empty); a few MB of them at a time."""
+        texts = texts.fill_null("")
+        sizes = pc.binary_length(texts).to_numpy()
+        step = np.cumsum(sizes) // _CHARS_AT_ONCE
+        for some in np.split(np.arange(len(texts)), np.flatnonzero(step[1:] != step[:-1]) + 1):
+            part = texts.slice(some[0], len(some)) if len(some) else texts
+            text = part.to_pylist()
+            plain = np.zeros(len(text), bool)
+            if self.by_piece:
+                gap = pc.match_substring_regex(pc.binary_join_element_wise("\n", part, ""), "[\\t\\n\\r ]{2}").to_numpy(zero_copy_only=False)
+                plain = ~gap & (sizes[some] > 0) & (sizes[some] <= _CHARS_AT_ONCE)
+                plain &= np.fromiter((not p or not (_OTHER.search(t) or any(a in t for a in self.added)) for p, t in zip(plain, text)), bool, len(text))
+            done = iter(self._lines(part.filter(pa.array(plain))) if plain.any() else ())
+            for p, t in zip(plain.tolist(), text, strict=True):
+                yield next(done) if p else self.encode(t)
+
     def encode(self, text: str) -> bytes:
         """The text's ids as little-endian unsigned 32-bit integers."""
         if not self.by_piece or _OTHER.search(text) or any(a in text for a in self.added):
@@ -157,128 +224,205 @@ def _independent(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
     return state >= 0
 
 
-def compress(ids: np.ndarray, min_count: int = MIN_COUNT, per_round: int | None = None, max_rounds: int | None = None) -> tuple[np.ndarray, np.ndarray, int]:
-    """(symbols, rules, first nonterminal): rule k says which two symbols nonterminal ``first + k`` stands for.
+def compress_together(shards: list[np.ndarray], min_count: int = MIN_COUNT, per_round: int | None = None,
+                      max_rounds: int | None = None) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """For each shard (symbols, rules, first nonterminal): rule k says which two symbols nonterminal ``first + k`` stands for.
 
     Re-Pair: the pair of neighbours that occurs most often (overlaps counted once) becomes
     a nonterminal wherever it occurs, counts are brought up to date, and so on until no pair
     occurs ``min_count`` times. Pairs that occur equally often and share no symbol in
     the sequence are replaced together, which is one of the orders of replacing them in turn:
     neither changes the other's count, and a pair that a replacement makes is no more frequent.
+    Shards have symbols of their own while they lie in one list, so none changes another's counts
+    and each gets the grammar that it gets alone.
 
     ``max_rounds`` (counts gone through) and ``per_round`` (pairs replaced together) end it sooner; neither is set in production.
     """
-    n, least = len(ids), max(2, min_count)
-    first = int(ids.max(initial=0)) + 1
-    # a list of symbols linked both ways; its end (place n) is no symbol and follows and precedes itself
-    seq = np.append(ids, 0).astype(np.int32)
+    least = max(2, min_count)
+    firsts = [int(ids.max(initial=0)) + 1 for ids in shards]
+    bases, starts = np.cumsum([0, *firsts]), np.cumsum([0, *map(len, shards)])
+    n, first = int(starts[-1]), int(bases[-1])
+    # a list of symbols linked both ways; -1 is no symbol: one that has gone, or the end (place n)
+    seq = np.concatenate([*(ids.astype(np.int32) + np.int32(b) for ids, b in zip(shards, bases)), np.full(1, -1, np.int32)])
     nxt, prv = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
-    seq[n], nxt[n], prv[0] = -1, n, n
-    # The pair that begins at a place, -1 for none that repeats. A pair of one symbol with itself is written as -2 - pair:
-    # what its count loses is not the number of places it loses, so that is found when its turn comes.
+    prv[0] = n
+    # The pair that begins at a place, -1 for none that repeats. Where a pair of one symbol with itself overlaps another such
+    # it is written as -2 - pair: what its count loses is not the number of places it loses, so that is found when its turn comes.
     pair = np.full(n + 1, -1, np.int32)
     # Of each pair: the (greatest possible) count, its symbols, and its slice of ``places``, which keeps
     # places that have gone. Pairs with a new symbol come up only when that is made, so slices never grow.
     count, begin, end, left, right = (np.zeros(2 * n + 1, np.int32) for _ in range(5))
+    overlaps = np.zeros(2 * n + 1, bool)
     places = np.empty(3 * n, np.int32)
-    mark = np.full(n + 1, -1, np.int32)
-    rules, n_rules, n_pairs, n_places = [np.empty((0, 2), np.uint32)], 0, 0, 0
+    turn = np.zeros(2 * n + 2, np.int32)  # of pairs replaced together, from 1
+    rules, spots, n_rules, n_pairs, n_places = [np.empty((0, 2), np.int32)], [np.empty(0, np.int32)], 0, 0, 0
     place_bits = np.int64(n.bit_length())
 
-    def add(at: np.ndarray) -> None:
-        """Count the pairs that begin at the places ``at`` (all of these pairs' places)."""
+    def add(at: np.ndarray, key: np.ndarray, bits: np.int64) -> None:
+        """Count the pairs ``key`` that begin at the places ``at`` (all of these pairs' places)."""
         nonlocal n_pairs, n_places
-        at = at[nxt[at] < n]
-        if not len(at):
-            return
-        bits = np.int64((first + n_rules).bit_length())
-        key = seq[at].astype(np.int64) << bits | seq[nxt[at]]
         if 2 * bits + place_bits < 64:
-            key = key << place_bits | at
+            key <<= place_bits
+            key |= at
             key.sort()
-            at, key = (key & ((1 << place_bits) - 1)).astype(np.int32), key >> place_bits
+            at = key & ((1 << place_bits) - 1)
+            key >>= place_bits
         else:
             order = np.argsort(key)
             key, at = key[order], at[order]
-        begins = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
-        size = np.diff(begins, append=len(key))
-        again = size >= least
-        at, size, key = at[np.repeat(again, size)], size[again], key[begins[again]]
-        k = len(key)
-        if not k:
+        again = np.flatnonzero(key[1:] == key[:-1])
+        if not len(again):
             return
+        breaks = np.flatnonzero(again[1:] - again[:-1] > 1)
+        opens, k = again[np.concatenate([[0], breaks + 1])], len(breaks) + 1
+        size = again[np.concatenate([breaks, [-1]])] + 2 - opens
+        if least > 2:
+            opens, size = opens[size >= least], size[size >= least]
+            k = len(opens)
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if k else 0
+        at = at[np.arange(total) + np.repeat(opens - (ends - size), size)]
+        key = key[opens]
         new = slice(n_pairs, n_pairs + k)
-        ends = np.cumsum(size) + n_places
-        count[new], begin[new], end[new] = size, ends - size, ends
-        left[new], right[new] = key >> bits, key & ((1 << bits) - 1)
-        name = np.arange(n_pairs, n_pairs + k, dtype=np.int32)
-        pair[at] = np.repeat(np.where(left[new] == right[new], -2 - name, name), size)
-        places[n_places:n_places + len(at)] = at
-        n_pairs, n_places = n_pairs + k, n_places + len(at)
-
-    add(np.arange(n, dtype=np.int32))
-    often, floor, level, rounds = np.empty(0, np.int64), 0, 0, 0  # pairs that may occur ``floor`` times
+        count[new], begin[new], end[new] = size, ends - size + n_places, ends + n_places
+        a, b = key >> bits, key & ((1 << bits) - 1)
+        left[new], right[new] = a, b
+        name, alike = np.repeat(np.arange(n_pairs, n_pairs + k, dtype=np.int32), size), a == b
+        if alike.any():
+            own = np.flatnonzero(np.repeat(alike, size))
+            close = nxt[at[own[:-1]]] == at[own[1:]]
+            if close.any():
+                own = own[np.append(close, False) | np.append(False, close)]
+                overlaps[name[own]] = True
+                name[own] = -2 - name[own]
+        pair[at] = name
+        places[n_places:n_places + total] = at
+        n_pairs, n_places = n_pairs + k, n_places + total
+
+    bits = np.int64(first.bit_length())
+    for a, b in zip(starts[:-1], starts[1:]):
+        wide = seq[a:b].astype(np.int64)
+        add(np.arange(a, b - 1), wide[:-1] << bits | wide[1:], bits)
+    often, shard, tops, floor, level, rounds = np.empty(0, np.int64), None, None, 0, None, 0  # pairs that may occur ``floor`` times
+
+    def shard_of(pairs: np.ndarray) -> np.ndarray:
+        return np.searchsorted(starts, places[begin[pairs]], "right") - 1
+
     while n_pairs:
         now = count[often]
-        top = int(now.max(initial=0))
+        if shard is None:
+            top = int(now.max(initial=0))
+            chosen = now == top
+        else:  # each shard's most frequent pairs
+            tops = np.zeros(len(shards), np.int32)
+            np.maximum.at(tops, shard, now)
+            top = int(tops.max())
+            tops[tops < floor] = -1
+            chosen = now == tops[shard]
         if top < max(floor, 1):
             top = int(count[:n_pairs].max())
-            floor = max(least, top if top <= 32 else (top + 1) // 2)
-            often = np.flatnonzero(count[:n_pairs] >= floor)
-            now = count[often]
-        if top < least or (top != level and rounds == max_rounds):
-            break
-        rounds, level = rounds + (top != level), top
-        some = often[now == top][:per_round]
-        alike = left[some] == right[some]
-        if alike.any():
-            some = some[alike][:1]
-            p = int(some[0])
-            i = np.sort(places[begin[p]:end[p]])
-            i = i[pair[i] == -2 - p]
-            # of a run of overlapping occurrences every second is taken
-            run, at = np.append(True, nxt[i[:-1]] != i[1:])[:len(i)], np.arange(len(i))
-            taken = i[(at - np.maximum.accumulate(np.where(run, at, 0))) % 2 == 0]
-            if len(taken) < top:
-                count[p] = len(taken)
-                continue
-            pair[i] = -1
-            i, x = taken, first + n_rules
-        elif len(some) == 1:
+            if top < least:
+                break
+            shard = None
+            if top <= _LOW:
+                floor = top
+                often = np.flatnonzero(count[:n_pairs] >= floor)
+            else:
+                floor = max(least, (top + 1) // 2)
+                if len(shards) > 1:
+                    often = np.flatnonzero(count[:n_pairs] > _LOW)
+                    shard, now = shard_of(often), count[often]
+                    tops = np.zeros(len(shards), np.int32)
+                    np.maximum.at(tops, shard, now)
+                    floor = max(least, _LOW + 1, (int(tops[tops > _LOW].min()) + 1) // 2)
+                    often, shard = often[now >= floor], shard[now >= floor]
+                else:
+                    often = np.flatnonzero(count[:n_pairs] >= floor)
+            continue
+        if top != level:
+            if rounds == max_rounds:
+                break
+            rounds, level = rounds + 1, top
+        some = often[chosen][:per_round]
+        if len(often) > 64 and 2 * np.count_nonzero(live := now >= floor) < len(often):
+            often = often[live]
+            shard = shard if shard is None else shard[live]
+        alike = overlaps[some].any()
+        if len(some) == 1 and not alike:
             i = places[begin[some[0]]:end[some[0]]]
-            i, x = i[pair[i] == some[0]], first + n_rules
+            i = i[pair[i] == some[0]].astype(np.intp)
+            j = nxt[i].astype(np.intp)
+            over, x = pair[j], np.full(len(i), first + n_rules, np.int32)
         else:
             size = end[some] - begin[some]
-            which = np.repeat(np.arange(len(some)), size)
-            i = places[np.arange(len(which)) + np.repeat(begin[some] - (np.cumsum(size) - size), size)]
-            here = pair[i] == some[which]
-            i, which = i[here], which[here]
-            mark[i] = which
-            other = mark[nxt[i]]
-            mark[i] = -1
-            shared = other >= 0
-            if shared.any():
-                free = _independent(which[shared], other[shared], len(some))
-                i, which, some = i[free[which]], (np.cumsum(free) - 1)[which[free[which]]], some[free]
-            x = first + n_rules + which
-        j, before = nxt[i], prv[i]
-        after = nxt[j]
-        mark[j] = 1
-        before = before[mark[before] < 0]  # neighbours that are not replaced themselves
-        mark[j] = -1
-        gone = np.concatenate([pair[j], pair[before]])
-        np.subtract.at(count, gone[gone >= 0].astype(np.intp), np.int32(1))
-        count[some] = 0
-        pair[i] = pair[j] = pair[before] = -1
+            ends = np.cumsum(size)
+            x = np.repeat(np.arange(len(some), dtype=np.int32), size)
+            i, which = places[np.arange(ends[-1]) + (begin[some] - (ends - size))[x]].astype(np.intp), some[x]
+            name = pair[i]
+            here = np.flatnonzero((name == which) | (name == -2 - which) if alike else name == which)
+            if len(here) < len(i):
+                i, x = i[here], x[here]
+            if alike:
+                # of a run of overlapping occurrences every second is taken
+                run, at = np.append(True, (nxt[i[:-1]] != i[1:]) | (x[:-1] != x[1:]))[:len(i)], np.arange(len(i))
+                taken = (at - np.maximum.accumulate(np.where(run, at, 0))) % 2 == 0
+                i, x = i[taken], x[taken]
+                found = np.bincount(x, minlength=len(some))
+                full = found == count[some]
+                if not full.all():
+                    count[some] = found
+                    continue
+            j = nxt[i].astype(np.intp)
+            over = pair[j]
+            turn[some] = np.arange(1, len(some) + 1)
+            other = turn[np.maximum(over, -2 - over)] - 1
+            turn[some] = 0
+            shared = np.flatnonzero((other >= 0) & (other != x))
+            if len(shared):
+                free = _independent(x[shared], other[shared], len(some))
+                whole = np.flatnonzero(free[x])
+                i, j, over, x = i[whole], j[whole], over[whole], (np.cumsum(free, dtype=np.int32) - 1)[x[whole]]
+                some = some[free]
+            x += first + n_rules
+        before, after = prv[i].astype(np.intp), nxt[j].astype(np.intp)
         seq[i], seq[j] = x, -1
         nxt[i], prv[after] = after, i
-        rules.append(np.stack([left[some], right[some]], 1).astype(np.uint32))
+        pair[i] = pair[j] = -1
+        s, t = seq[before], seq[after]
+        stays = np.flatnonzero(s >= 0)  # neighbours that are not replaced themselves
+        before, s, y = before[stays], s[stays], x[stays]
+        gone = np.concatenate([over, pair[before]])
+        np.subtract.at(count, gone[gone >= 0].astype(np.intp), np.int32(1))
+        count[some] = 0
+        pair[before] = -1
+        rules.append(np.stack([left[some], right[some]], 1))
+        spots.append(places[begin[some]])
         n_rules += len(some)
-        old = n_pairs
-        add(np.concatenate([i, before[before < n]]))
+        if len(t) and t.min() < 0:
+            i, x, t = i[t >= 0], x[t >= 0], t[t >= 0]
+        bits, old = np.int64((first + n_rules).bit_length()), n_pairs
+        add(np.concatenate([i, before]), np.concatenate([x, s]).astype(np.int64) << bits | np.concatenate([t, y]), bits)
         if n_pairs > old:
-            often = np.concatenate([often, np.flatnonzero(count[old:n_pairs] >= floor) + old])
-    return seq[seq >= 0].astype(np.uint32), np.concatenate(rules), first
+            more = np.flatnonzero(count[old:n_pairs] >= floor) + old
+            if len(more):
+                often = np.concatenate([often, more])
+                if shard is not None:
+                    shard = np.concatenate([shard, shard_of(more)])
+    # each shard's symbols and rules under numbers of its own
+    both, of = np.concatenate(rules), np.searchsorted(starts, np.concatenate(spots), "right") - 1
+    own, out = np.empty(first + n_rules, np.uint32), []
+    own[:first] = np.arange(first) - np.repeat(bases[:-1], firsts)
+    for g, a in enumerate(firsts):
+        mine = np.flatnonzero(of == g)
+        own[first + mine] = np.arange(a, a + len(mine))
+        symbols = seq[starts[g]:starts[g + 1]]
+        out.append((own[symbols[symbols >= 0]], own[both[mine]], a))
+    return out
+
+
+def compress(ids: np.ndarray, min_count: int = MIN_COUNT, per_round: int | None = None, max_rounds: int | None = None) -> tuple[np.ndarray, np.ndarray, int]:
+    """(symbols, rules, first nonterminal) of one shard."""
+    return compress_together([ids], min_count, per_round, max_rounds)[0]
 
 
 def expansion_lengths(rules: np.ndarray, first: int) -> np.ndarray:
@@ -311,9 +455,9 @@ def _widen(rows: np.ndarray) -> np.ndarray:
     return wide.view("<u4")[:, 0]
 
 
-def pack(ids: np.ndarray, docs: pa.RecordBatch) -> bytes:
+def pack(ids: np.ndarray, docs: pa.RecordBatch, grammar: tuple[np.ndarray, np.ndarray, int] | None = None) -> bytes:
     """A file: header, rules, expansion lengths, marks, symbols, then the documents (doc_id, n_tokens) as an Arrow stream."""
-    symbols, rules, first = compress(ids)
+    symbols, rules, first = grammar or compress(ids)
     lengths = expansion_lengths(rules, first)
     wide = np.append(np.ones(first, np.int64), lengths)[symbols]
     marks = (np.cumsum(wide) - wide)[::_MARK].astype("<u8")
@@ -363,7 +507,17 @@ class Shard:
         """How many ids each symbol stands for."""
         return np.append(np.ones(self.first, np.int64), self.lengths)
 
-    def _opened(self, symbols: np.ndarray) -> np.ndarray:
+    @cached_property
+    def _written_out(self) -> tuple[int, np.ndarray, np.ndarray]:
+        """(most, ids, begins): the ids of every symbol that stands for at most ``most``, one after the other, and where each
+        begins. Few nonterminals stand for many, so that is all of them unless they stand for more ids than the shard has."""
+        size = np.sort(self.lengths)
+        fit = int(np.searchsorted(np.cumsum(size, dtype=np.int64), max(self.n_ids, _MARK), "right"))
+        most = int(size[fit]) - 1 if fit < len(size) else int(size[-1]) if len(size) else 1
+        wide = np.where(self._wide <= most, self._wide, 0)
+        return most, self._placed(np.flatnonzero(wide)), np.cumsum(wide) - wide
+
+    def _placed(self, symbols: np.ndarray) -> np.ndarray:
         """The ids that ``symbols`` stand for: each nonterminal is opened at its own place in the output."""
         wide = self._wide[symbols]
         at = np.cumsum(wide) - wide
@@ -376,6 +530,22 @@ class Shard:
             symbols, at = np.concatenate([a, b]), np.concatenate([at, at + self._wide[a]])
         return out
 
+    def _opened(self, symbols: np.ndarray) -> np.ndarray:
+        """The ids that ``symbols`` stand for, looked up; longer symbols are opened down to what is written out."""
+        wide = self._wide[symbols]
+        if wide.sum() < self.n_ids // 8:
+            return self._placed(symbols)  # not worth writing out the others
+        most, ids, begins = self._written_out
+        while (wide > most).any():
+            open_ = wide > most
+            place = np.cumsum(open_ + 1) - 1  # of a symbol, or of the second of its two
+            pairs, opened = self.rules[symbols[open_] - self.first], np.empty(len(symbols) + len(np.flatnonzero(open_)), np.int64)
+            opened[place] = symbols
+            opened[place[open_] - 1], opened[place[open_]] = pairs[:, 0], pairs[:, 1]
+            symbols = opened
+            wide = self._wide[symbols]
+        return ids[np.arange(int(wide.sum())) + np.repeat(begins[symbols] - (np.cumsum(wide) - wide), wide)]
+
     def read(self, start: int, stop: int) -> np.ndarray:
         """Ids ``start`` to ``stop`` of the shard; only the symbols that cover them are opened."""
         stop = min(stop, self.n_ids)
@@ -429,34 +599,39 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end: int = END_ID, max_s
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept(("encoder", tokenizer), lambda: Encoder(tokenizer))
-        at, part, held, ids, lengths = None, 0, [], [], []
+        at, part, held, ids, lengths, full = None, 0, [], [], [], []
 
-        def flush() -> pa.RecordBatch:
-            body = np.frombuffer(b"".join(ids), "<u4")
+        def close() -> None:
             index = pa.RecordBatch.from_arrays([pa.concat_arrays(held), pa.array(lengths, pa.int64())], names=["doc_id", "n_tokens"])
-            uri, out = create(folder, "grammar", ".rpg")
-            with out:
-                out.write(pack(body, index))
-            row = pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((uri, at, part, len(body), len(lengths)), schema.types, strict=True)], schema=schema)
+            full.append((at, part, np.frombuffer(b"".join(ids), "<u4"), index))
             for x in (held, ids, lengths):
                 x.clear()
-            return row
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for (b, k, body, index), grammar in zip(full, compress_together([f[2] for f in full]), strict=True):
+                uri, out = create(folder, "grammar", ".rpg")
+                with out:
+                    out.write(pack(body, index, grammar))
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((uri, b, k, len(body), index.num_rows), schema.types, strict=True)], schema=schema)
+            full.clear()
 
         size = 0
         for batch in batches:
             keys = batch.column("doc_id")
-            for i, (b, text) in enumerate(zip(batch.column("bucket").to_pylist(), batch.column("text").to_pylist(), strict=True)):
-                data = encoder.encode(text or "")
+            for i, (b, data) in enumerate(zip(batch.column("bucket").to_pylist(), encoder.encode_all(batch.column("text")), strict=True)):
                 if lengths and (b != at or size + len(data) // 4 >= max_shard_ids):
-                    yield flush()
+                    close()
                     part, size = (part + 1 if b == at else 0), 0
+                    if len(full) >= SHARDS_TOGETHER:
+                        yield from flush()
                 at = b
                 ids += [data, tail]
                 lengths.append(len(data) // 4 + 1)
                 size += lengths[-1]
                 held.append(keys.slice(i, 1))
         if lengths:
-            yield flush()
+            close()
+            yield from flush()
 
     dealt = (rows.withColumn("bucket", bucket.cast("int")).repartitionById(n, F.col("bucket"))
              .sortWithinPartitions("bucket", F.asc_nulls_first("doc_id"), F.asc_nulls_first("text")))
@@ -491,8 +666,8 @@ def read(files: DataFrame, doc_type: str = "bigint") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([shard.docs.column("doc_id").combine_chunks(), pa.array(start + ends - n, pa.int64()), pa.array(n, pa.int64()), pa.array(sums, pa.int64())],
                                                  names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    # files are of bounded size: a task a file, or several where there are many
-    return (files.select("file", "start").repartition(max(1, min(MAX_READERS, files.count())))
+    # files are of bounded size and read one after the other: a task reads several, more where there are many
+    return (files.select("file", "start").repartition(max(1, min(MAX_READERS, -(-files.count() // FILES_PER_READER))))
             .mapInArrow(decode, f"doc_id {doc_type}, start long, n_tokens long, ids_crc32 long"))
 
 

@@ -265,6 +265,52 @@ def test_every_rule_is_the_most_frequent_pair_until_none_repeats(seed, n, alphab
     assert symbols.tolist() == seq and max(pair_counts(seq).values(), default=0) < 2
 
 
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 10**6), st.integers(0, 150), st.integers(1, 9), st.integers(1, 3)), min_size=1, max_size=4))
+def test_shards_compressed_together_get_the_grammars_of_their_own(many):
+    shards = [np.tile(np.random.default_rng(seed).integers(0, alphabet, n).astype("<u4"), copies) for seed, n, alphabet, copies in many]
+    for ids, (symbols, rules, first) in zip(shards, repair.compress_together(shards), strict=True):
+        seq = ids.tolist()
+        assert first == max(seq, default=0) + 1
+        for k, (a, b) in enumerate(rules.tolist()):
+            counts = pair_counts(seq)
+            assert counts[a, b] == max(counts.values())
+            out, i = [], 0
+            while i < len(seq):
+                hit = seq[i:i + 2] == [a, b]
+                out.append(first + k if hit else seq[i])
+                i += 2 if hit else 1
+            seq = out
+        assert symbols.tolist() == seq and max(pair_counts(seq).values(), default=0) < 2
+
+
+def test_symbols_that_repeat_themselves_are_replaced_with_other_pairs():
+    rng = np.random.default_rng(3)
+    shards = [np.repeat(rng.integers(0, 60, 6_000), rng.integers(1, 7, 6_000)).astype("<u4") for _ in range(3)]
+    for ids, (symbols, rules, first) in zip(shards, repair.compress_together(shards), strict=True):
+        assert repair._expand(symbols, rules, first).tolist() == ids.tolist()
+        assert max(pair_counts(symbols.tolist()).values()) < 2
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.none() | st.text(st.one_of(st.sampled_from(" \n\t'’ab½é日"), st.characters(codec="utf-8")), max_size=40), max_size=6))
+def test_texts_encoded_together_agree_with_the_library(texts):
+    if not ENCODER:
+        ENCODER.append(repair.Encoder(repair.byte_bpe_file()))
+    e = ENCODER[0]
+    texts = [*texts, "plain words, and more\nof them", *(t and f"word {t} end" for t in texts)]
+    got = [np.frombuffer(x, "<u4").tolist() for x in e.encode_all(pa.array(texts, pa.string()))]
+    assert got == [e.library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_a_reading_task_takes_several_files(spark):
+    docs = spark.createDataFrame([(i, f"some text {i % 7} of a file") for i in range(60)], "doc_id long, text string")
+    files = repair.write(docs, scratch_path(spark, "rpg-many"), repair.byte_bpe_file(), max_shard_ids=20).localCheckpoint()
+    got = repair.read(repair.starts(files))
+    assert files.count() > 2 * repair.FILES_PER_READER and got.rdd.getNumPartitions() == -(-files.count() // repair.FILES_PER_READER)
+    assert sorted(map(tuple, got.collect())) == plain_tokens([tuple(r) for r in docs.collect()])
+
+
 def test_long_repeats_of_a_large_shard():
     ids = np.concatenate([np.tile(np.random.default_rng(5).integers(0, 50_000, 700), 300), np.zeros(10_001, int), np.arange(70_000)]).astype("<u4")
     shard = repair.Shard.of(repair.pack(ids, pa.RecordBatch.from_arrays([pa.array([1]), pa.array([len(ids)])], names=["doc_id", "n_tokens"])))
