@@ -29,7 +29,6 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +44,7 @@ END_ID = 0
 MAX_SHARD_IDS = 1 << 19  # a grammar's arrays stay in the processor's caches
 # Documents of a bucket: some 1.4 million ids of ordinary prose. A bucket is one task, which writes as many files as its ids need.
 ROWS_PER_BUCKET, MAX_BUCKETS, MAX_READERS = 1_024, 20_000, 4_096
-SHARDS_TOGETHER, FILES_PER_READER = 3, 8  # a worker holds so many shards at a time, or one file
+SHARDS_TOGETHER, FILES_PER_READER = 2, 8  # a worker holds so many shards at a time, or one file
 MIN_COUNT = 2  # a pair that occurs so often gets a rule: every pair that repeats
 _LOW = 32  # counts up to this are gone through one by one by all shards together
 _MAGIC, _HEAD, _MARK = b"RPG2", "<4sIIIIQQ", 1024
@@ -143,9 +142,11 @@ class Encoder:
         for k in range(0, len(words), _WORDS_AT_ONCE):
             some = words[k:k + _WORDS_AT_ONCE]
             letters = (" " + "\n ".join(some)).encode().decode("latin-1").translate(_BYTE_LETTERS)
-            found = [[t.id for t in tokens] for tokens in map(self.model.tokenize, letters.split(_BYTE_LETTERS[10]))]
-            data = np.array(list(chain.from_iterable(found)), "<u4").tobytes()
-            ends = (4 * np.cumsum(list(map(len, found)))).tolist()
+            ids, ends = [], []
+            for tokens in map(self.model.tokenize, letters.split(_BYTE_LETTERS[10])):
+                ids += [t.id for t in tokens]
+                ends.append(4 * len(ids))
+            data = np.array(ids, "<u4").tobytes()
             out.update((w, data[a:b]) for w, a, b in zip(some, [0, *ends], ends))
         return out
 
@@ -242,16 +243,18 @@ def compress_together(shards: list[np.ndarray], min_count: int = MIN_COUNT, per_
     firsts = [int(ids.max(initial=0)) + 1 for ids in shards]
     bases, starts = np.cumsum([0, *firsts]), np.cumsum([0, *map(len, shards)])
     n, first = int(starts[-1]), int(bases[-1])
-    # a list of symbols linked both ways; -1 is no symbol: one that has gone, or the end (place n)
-    seq = np.concatenate([*(ids.astype(np.int32) + np.int32(b) for ids, b in zip(shards, bases)), np.full(1, -1, np.int32)])
-    nxt, prv = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
-    prv[0] = n
+    # a list of symbols linked both ways; -1 is no symbol: one that has gone, or the end (place n). What belongs to a place lies together.
+    seq, nxt, prv, pair = np.empty((n + 1, 4), np.int32).T
+    for ids, base, a, b in zip(shards, bases, starts[:-1], starts[1:]):
+        seq[a:b] = ids.astype(np.int32) + np.int32(base)
+    nxt[:], prv[:] = np.arange(1, n + 2), np.arange(-1, n)
+    seq[n], prv[0] = -1, n
     # The pair that begins at a place, -1 for none that repeats. Where a pair of one symbol with itself overlaps another such
     # it is written as -2 - pair: what its count loses is not the number of places it loses, so that is found when its turn comes.
-    pair = np.full(n + 1, -1, np.int32)
+    pair[:] = -1
     # Of each pair: the (greatest possible) count, its symbols, and its slice of ``places``, which keeps
     # places that have gone. Pairs with a new symbol come up only when that is made, so slices never grow.
-    count, begin, end, left, right = (np.zeros(2 * n + 1, np.int32) for _ in range(5))
+    count, (begin, end, left, right) = np.zeros(2 * n + 1, np.int32), np.empty((2 * n + 1, 4), np.int32).T
     overlaps = np.zeros(2 * n + 1, bool)
     places = np.empty(3 * n, np.int32)
     turn = np.zeros(2 * n + 2, np.int32)  # of pairs replaced together, from 1
@@ -388,20 +391,21 @@ def compress_together(shards: list[np.ndarray], min_count: int = MIN_COUNT, per_
         seq[i], seq[j] = x, -1
         nxt[i], prv[after] = after, i
         pair[i] = pair[j] = -1
-        s, t = seq[before], seq[after]
-        stays = np.flatnonzero(s >= 0)  # neighbours that are not replaced themselves
-        before, s, y = before[stays], s[stays], x[stays]
-        gone = np.concatenate([over, pair[before]])
+        near = pair[before]
+        # a pair of the new symbol and a neighbour repeats only where the pair that it takes the place of did
+        ahead, back = np.flatnonzero(over != -1), np.flatnonzero(near != -1)
+        i, before = i[ahead], before[back]
+        gone = np.concatenate([over[ahead], near[back]])
         np.subtract.at(count, gone[gone >= 0].astype(np.intp), np.int32(1))
         count[some] = 0
         pair[before] = -1
         rules.append(np.stack([left[some], right[some]], 1))
         spots.append(places[begin[some]])
         n_rules += len(some)
-        if len(t) and t.min() < 0:
-            i, x, t = i[t >= 0], x[t >= 0], t[t >= 0]
         bits, old = np.int64((first + n_rules).bit_length()), n_pairs
-        add(np.concatenate([i, before]), np.concatenate([x, s]).astype(np.int64) << bits | np.concatenate([t, y]), bits)
+        if len(gone):
+            key = np.concatenate([x[ahead], seq[before]]).astype(np.int64) << bits | np.concatenate([seq[after[ahead]], x[back]])
+            add(np.concatenate([i, before]), key, bits)
         if n_pairs > old:
             more = np.flatnonzero(count[old:n_pairs] >= floor) + old
             if len(more):
