@@ -11,7 +11,7 @@ lengths, so that any range of ids is decoded without the rest
 A task writes its files under names of its own; readers learn names only from
 rows of tasks that succeeded. Documents of one bucket of ids form one task, in
 order; a bucket beyond ``MAX_SHARD_IDS`` ids spans several files, so a worker
-holds one shard, whatever the bucket.
+holds ``SHARDS_TOGETHER`` shards, whatever the bucket.
 
 Defined cases: null and empty texts have the end id only; a null doc_id comes
 first; rows repeating an id are ordered by their text and each is a document;
@@ -262,7 +262,7 @@ def compress_together(shards: list[np.ndarray], min_count: int = MIN_COUNT, per_
     place_bits = np.int64(n.bit_length())
 
     def add(at: np.ndarray, key: np.ndarray, bits: np.int64) -> None:
-        """Count the pairs ``key`` that begin at the places ``at`` (all of these pairs' places)."""
+        """Count the pairs ``key`` that begin at the places ``at`` (all of these pairs' places); a pair's places are kept in order."""
         nonlocal n_pairs, n_places
         if 2 * bits + place_bits < 64:
             key <<= place_bits
@@ -271,7 +271,7 @@ def compress_together(shards: list[np.ndarray], min_count: int = MIN_COUNT, per_
             at = key & ((1 << place_bits) - 1)
             key >>= place_bits
         else:
-            order = np.argsort(key)
+            order = np.lexsort((at, key))
             key, at = key[order], at[order]
         again = np.flatnonzero(key[1:] == key[:-1])
         if not len(again):
@@ -626,7 +626,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end: int = END_ID, max_s
                 if lengths and (b != at or size + len(data) // 4 >= max_shard_ids):
                     close()
                     part, size = (part + 1 if b == at else 0), 0
-                    if len(full) >= SHARDS_TOGETHER:
+                    if len(full) >= SHARDS_TOGETHER or len(full[-1][2]) > max_shard_ids:  # a long document's shard may be large
                         yield from flush()
                 at = b
                 ids += [data, tail]
