@@ -90,3 +90,29 @@ def test_recent_rows_filter_what_they_are_joined_from(spark, monkeypatch):
         rows = sorted(map(str, filtered.collect()))
     assert spark.conf.get(key) == before and "might_contain" not in plan(fresh())
     assert rows == sorted(map(str, fresh().collect()))
+
+
+def test_a_refresh_moves_trips_once_and_by_day(spark):
+    from strata.operators.broadcast import is_bounded
+
+    dims = adapter.dimensions(spark, SF_SMALL)
+    assert all(is_bounded(d) for d in dims.values())  # else a refresh moves rows by day only after ids and keys are added
+    p = plan(fact.build_fact(adapter.dirty_trips(spark, SF_SMALL), dims, first_valid=adapter.FIRST_VALID, by_day=True))
+    assert p.count("REBALANCE_PARTITIONS_BY_COL") == 1 and "hashpartitioning(VendorID" not in p
+
+
+def test_customers_beyond_the_bound_are_joined_to_orders_not_to_trips(spark, monkeypatch):
+    want = sorted(map(str, adapter.trips(spark, SF_SMALL).collect()))
+    monkeypatch.setattr(adapter, "bounded_broadcast", lambda df: df)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        trips = adapter.trips(spark, SF_SMALL)
+        lines = plan(trips).splitlines()
+        got = sorted(map(str, trips.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    at = next(i for i, line in enumerate(lines) if "hashpartitioning(o_custkey" in line)
+    below = next((i for i in range(at + 1, len(lines)) if depth(lines[i]) <= depth(lines[at])), len(lines))
+    assert not any("l_orderkey" in line for line in lines[at:below]) and any("o_custkey" in line for line in lines[at:below])
+    assert got == want

@@ -139,3 +139,40 @@ def test_lake_query_lands_each_month_in_one_file(spark, monkeypatch):
     pickups = registered.adapter.dirty_trips(spark, SF_SMALL).agg(F.min("tpep_pickup_datetime"), F.max("tpep_pickup_datetime")).first()
     assert most == 1 and start == (pickups[0].year, pickups[0].month)
     assert end == (pickups[1].year + pickups[1].month // 12, pickups[1].month % 12 + 1)
+
+
+def test_days_compared_apart_or_spread_give_the_same_rows(spark, monkeypatch):
+    from strata.plans import adapter, fact
+    from tests.conftest import SF_SMALL
+
+    dims = adapter.dimensions(spark, SF_SMALL)
+    raw = adapter.dirty_trips(spark, SF_SMALL).withColumn("year", F.lit(1)).withColumn("month", F.explode(F.array(F.lit(1), F.lit(2))))
+    days = raw.groupBy(F.to_date("tpep_pickup_datetime").alias("day")).count()
+    middle = days.approxQuantile("count", [0.5], 0.0)[0]
+    for scope in ("global", "source"):
+        build = lambda **kw: sorted(map(str, fact.build_fact(raw, dims, first_valid=adapter.FIRST_VALID, dedup_scope=scope, **kw).collect()))  # noqa: B023, E731
+        want = build()
+        for limit in (0, int(middle), 1 << 20):  # all days spread, some, none
+            monkeypatch.setattr(fact, "DAY_ROWS", limit)
+            assert build(by_day=True) == want
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_dir):
+    import time
+
+    from strata.session import SHUFFLE_CLEANUP_CONF
+    from strata.sinks.writer import stage
+
+    blocks = lambda: {b for b in str(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ")).split() if b.startswith("shuffle_")}
+    settings = {k: spark.conf.get(k) for k in SHUFFLE_CLEANUP_CONF}
+    days = spark.range(2000).select("id", F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") % 5).cast("int")).alias("day"))
+    before = blocks()
+    write(days.dropDuplicates(["id"]), tmp_dir, "overwrite", ["day"])
+    assert stage(days.groupBy("day").count()).count() == 5
+    spark.read.parquet(tmp_dir).groupBy("day").count().toPandas()  # a query outside shuffles as before
+    for _ in range(50):
+        if len(left := {b.split("_")[1] for b in blocks() - before}) <= 2:  # the shuffles of the two reads
+            break
+        time.sleep(0.2)
+    assert len(left) <= 2
+    assert {k: spark.conf.get(k) for k in settings} == settings
