@@ -214,7 +214,7 @@ def incremental_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C11: full fact for older pickups, then the recent window upserted; read back."""
     path = _scratch(spark, "fact")
     dims = adapter.dimensions(spark, sf_dir)
-    raw = adapter.dirty_trips(spark, sf_dir)
+    raw = stage(adapter.dirty_trips(spark, sf_dir), "trips")  # read several times, joined once
     older = raw.where(F.col(model.PICKUP) < F.lit("2001-06-01").cast("timestamp_ntz"))
     refresh_full(older, dims, path, first_valid=adapter.FIRST_VALID)
     refresh_incremental(spark, raw, dims, path, months=2, as_of=AS_OF, first_valid=adapter.FIRST_VALID)
@@ -574,7 +574,7 @@ def dimension_cut_off(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mart_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C12 after C11: a mart of older days, brought up to date for the days that an incremental fact refresh changed."""
     fact_path, mart_path = _scratch(spark, "mart-fact"), _scratch(spark, "mart")
-    dims, raw = adapter.dimensions(spark, sf_dir), adapter.dirty_trips(spark, sf_dir)
+    dims, raw = adapter.dimensions(spark, sf_dir), stage(adapter.dirty_trips(spark, sf_dir), "trips")  # read several times, joined once
     older = raw.where(F.col(model.PICKUP) < F.lit("2001-06-01").cast("timestamp_ntz"))
     refresh_full(older, dims, fact_path, first_valid=adapter.FIRST_VALID)
     mart_job(read_table(spark, fact_path), dims, mart_path)
