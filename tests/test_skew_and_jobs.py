@@ -176,3 +176,35 @@ def test_a_write_leaves_no_shuffle_files(spark, tmp_dir):
         time.sleep(0.2)
     assert len(left) <= 2
     assert {k: spark.conf.get(k) for k in settings} == settings
+
+
+def test_dedup_by_month_lands_without_a_fixed_number_of_tasks(spark, monkeypatch):
+    from strata.plans import registered
+    from tests.conftest import SF_SMALL
+
+    class Landed(Exception):
+        pass
+
+    plans = []
+
+    def written(df, *a, **kw):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        write(df, *a, **kw)
+
+    def built(bronze, *a, **kw):
+        raise Landed(bronze)
+
+    monkeypatch.setattr(registered, "write", written)
+    monkeypatch.setattr(registered, "build_fact", built)
+    try:
+        registered.dedup_by_month(spark, SF_SMALL)
+    except Landed as seen:
+        landed = seen.args[0]
+    assert not any("RoundRobin" in p for p in plans) and not any("Generate explode" in p for p in plans)
+    trips = registered.adapter.trips(spark, SF_SMALL)
+    month = F.trunc("tpep_pickup_datetime", "month")
+    ahead = ((F.col("year") * 12 + F.col("month")) - (F.year(month) * 12 + F.month(month))).alias("ahead")
+    n = trips.count()
+    assert {r["ahead"]: r["count"] for r in landed.groupBy(ahead).count().collect()} == {0: 2 * n, 1: n}
+    twice = landed.where(ahead == 0).groupBy(*trips.columns).agg(F.count_distinct("_metadata.file_path").alias("files"))
+    assert twice.agg(F.min("files")).first()[0] >= 2  # the copies of a trip lie in files of their own
